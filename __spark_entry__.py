@@ -50,7 +50,8 @@ def _raw(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
 def _clean(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """Cleaned log with the named columns besides userId, ts and auth (all if none is named)."""
-    return clean_activity(_raw(spark, sf_dir, *(["userId", "ts", "auth", *columns] if columns else [])))
+    named = dict.fromkeys(["userId", "ts", "auth", *columns]) if columns else []
+    return clean_activity(_raw(spark, sf_dir, *named))
 
 
 def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -240,7 +241,7 @@ def queries() -> dict[str, Query]:
         ),
         "churn_label": on_clean(label.churn_label, "page"),
         "label_join": on_clean(lambda log: label.label_join(log, label.churn_label(log))),
-        "last_interaction": on_clean(account.last_interaction, "userId"),
+        "last_interaction": on_clean(account.last_interaction, "ts"),
         "registered_days": on_clean(account.registered_days, "registration"),
         "valid_level": on_clean(account.valid_level, "level", "itemInSession"),
         "avg_length": on_clean(account.avg_length, "length"),

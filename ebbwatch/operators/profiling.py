@@ -105,10 +105,13 @@ def describe(df: DataFrame) -> DataFrame:
     for i, f in enumerate(df.schema.fields):
         text = isinstance(f.dataType, T.StringType)
         number = F.col(f.name).try_cast("double")
-        lo, hi = F.min(f.name), F.max(f.name)
+        mean = F.avg(number)
+        if isinstance(f.dataType, T.IntegralType):
+            # Exact whatever the order of the rows; a sum of large longs as doubles is not.
+            mean = F.sum(F.col(f.name).cast("decimal(20,0)")).cast("double") / F.nullif(F.count(f.name), F.lit(0))
         aggregates += [
-            F.count(f.name).alias(f"n{i}"), F.avg(number).alias(f"mean{i}"), F.stddev_samp(number).alias(f"sd{i}"),
-            lo.alias(f"lo{i}"), hi.alias(f"hi{i}"),
+            F.count(f.name).alias(f"n{i}"), mean.alias(f"mean{i}"), F.stddev_samp(number).alias(f"sd{i}"),
+            F.min(f.name).alias(f"lo{i}"), F.max(f.name).alias(f"hi{i}"),
         ]
         none_text, none_number = F.lit(None).cast("string"), F.lit(None).cast("double")
         rows.append(

@@ -75,6 +75,11 @@ def _r(expr: str) -> str:
     return f"round(({expr}) + 1e-9, 6)"
 
 
+def _r_large(expr: str) -> str:
+    """As _r, for values that may be epoch milliseconds: these have no sixth decimal to round."""
+    return f"CASE WHEN abs({expr}) > 1e9 THEN {expr} ELSE {_r(expr)} END"
+
+
 def _strip(name: str) -> str:
     return f"regexp_replace({_q(name)}, '[^a-zA-Z0-9,-]', '', 'g')"
 
@@ -209,7 +214,7 @@ counted AS (
   SELECT {by}, least(CAST(floor((x - a) / (b - a) * 10) AS INTEGER), 9) AS bin, count(*) AS n
   FROM nums JOIN ranges USING ({by}) GROUP BY ALL),
 edges AS (SELECT {by}, a, b, unnest(range(10)) AS bin FROM ranges)
-SELECT {by}, bin, {_r("a + (b - a) / 10 * bin")} AS lo, {_r("a + (b - a) / 10 * (bin + 1)")} AS hi,
+SELECT {by}, bin, {_r_large("a + (b - a) / 10 * bin")} AS lo, {_r_large("a + (b - a) / 10 * (bin + 1)")} AS hi,
        coalesce(n, 0) AS n
 FROM edges LEFT JOIN counted USING ({by}, bin)"""
 
@@ -261,13 +266,14 @@ _ITEMS = 'SELECT "userId", label, avg("itemInSession") AS x FROM tenure GROUP BY
 def _describe(name: str, kind: str) -> str:
     c = _q(name)
     number = f"TRY_CAST({c} AS DOUBLE)"
+    mean = f"avg({c})" if kind == "bigint" else f"avg({number})"
     bounds = (
         f"NULL::DOUBLE AS min_number, NULL::DOUBLE AS max_number, min({c}) AS min_text, max({c}) AS max_text"
         if kind == "string"
         else f"min({c})::DOUBLE AS min_number, max({c})::DOUBLE AS max_number, "
         "NULL::VARCHAR AS min_text, NULL::VARCHAR AS max_text"
     )
-    return f"""SELECT '{name}' AS column_name, count({c}) AS n, {_r(f"avg({number})")} AS mean,
+    return f"""SELECT '{name}' AS column_name, count({c}) AS n, {_r_large(mean)} AS mean,
        round(stddev_samp({number}), 2) AS stddev, {bounds} FROM raw"""
 
 
@@ -463,7 +469,7 @@ UNION ALL SELECT 'valid_level', valid_level, CAST(valid_level_index AS DOUBLE) F
         ),
         "feature_vector": _model(
             " UNION ALL ".join(
-                f'SELECT "userId", {i} AS position, {_r(f"CAST({c} AS DOUBLE)")} AS value FROM model_rows'
+                f'SELECT "userId", {i} AS position, {_r_large(f"CAST({c} AS DOUBLE)")} AS value FROM model_rows'
                 for i, c in enumerate(INPUTS)
             )
         ),
