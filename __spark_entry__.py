@@ -16,7 +16,7 @@ from ebbwatch.ml import models, prepare, trees
 from ebbwatch.ml.tuning import TunedTree, tune_tree
 from ebbwatch.operators import account, behaviour, breakdown, histogram, label, profiling, sampling, scoring
 from ebbwatch.operators.clean import clean_activity, clean_strings, event_time
-from ebbwatch.plans.features import feature_report, user_features
+from ebbwatch.plans.features import INDEXED, complete_rows, feature_report, feature_table, user_counts
 from ebbwatch.plans.modelling import ModelData, model_data
 from ebbwatch.session import scratch_path, use_utc, write_table
 from ebbwatch.sources import activity_log as logs
@@ -55,10 +55,13 @@ def _clean(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
 
 def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = _clean(
-        spark, sf_dir, "page", "level", "gender", "location", "registration", "sessionId", "itemInSession"
+    # The account columns cost a join of the events; the behaviour does without it.
+    accounts = account.account_rows(
+        _clean(spark, sf_dir, "page", "level", "gender", "location", "registration", "itemInSession")
+    )
+    return feature_table(
+        accounts, behaviour.user_behaviour(_clean(spark, sf_dir, "page", "sessionId", "itemInSession"), PAGES)
     )
-    return user_features(log, PAGES)
 
 
 def _model_data(spark: SparkSession, sf_dir: str) -> ModelData:
@@ -103,20 +106,6 @@ def features_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _published(logs.read_features_csv(spark, path, features.schema))
 
 
-def split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _model_data(spark, sf_dir).rows.groupBy("split").agg(F.count("*").alias("n"))
-
-
-def user_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feature rows, and how many of them have everything a model needs."""
-    data = _model_data(spark, sf_dir)
-    complete = [c for c in data.features.columns if c in (*prepare.INDEXED, *data.names)]
-    present = F.lit(True)
-    for c in complete:
-        present = present & F.col(f"`{c}`").isNotNull()
-    return data.features.agg(F.count("*").alias("n_feature_rows"), F.count_if(present).alias("n_model_rows"))
-
-
 # Models
 
 
@@ -156,6 +145,12 @@ def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.agg(F.count("*").alias("n"), F.count_if(F.col("prediction") == F.col("again")).alias("n_same"))
 
 
+def tune_tree_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The larger grid, with four depths and both impurities."""
+    data = _model_data(spark, sf_dir)
+    return tune_tree(data.train, data.names, (10, 40), (5, 10, 20, 30), ("entropy", "gini")).grid(spark)
+
+
 def validation_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     data, tuned = _tuned(spark, sf_dir)
     return models.evaluate(tuned.search.transform(data.validation))
@@ -186,10 +181,10 @@ def leaf_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trees.leaf_profile(tuned.tree, data.rows, nodes, data.names)
 
 
-def _rule_scores(data: ModelData) -> DataFrame:
+def _rule_scores(rows: DataFrame) -> DataFrame:
     """A fixed rule in place of a model, so that its scores can be checked in SQL."""
     guess = (F.col("avg_monthly_Error") >= 1.5) & (F.col("registered_days") < 200)
-    return data.rows.select("label", F.when(guess, 1).otherwise(0).alias("prediction"))
+    return rows.select("label", F.when(guess, 1).otherwise(0).alias("prediction"))
 
 
 def feature_histograms(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,6 +206,12 @@ def queries() -> dict[str, Query]:
     def on_features(operator) -> Query:
         return lambda spark, sf_dir: _published(operator(_features(spark, sf_dir)))
 
+    def on_split(operator) -> Query:
+        return on_features(lambda features: operator(sampling.data_split(complete_rows(features))))
+
+    def on_train(operator) -> Query:
+        return on_split(lambda rows: operator(rows.where("split = 'train'")))
+
     def on_model_data(operator) -> Query:
         return lambda spark, sf_dir: _published(operator(_model_data(spark, sf_dir)))
 
@@ -225,8 +226,8 @@ def queries() -> dict[str, Query]:
         "land_activity": land_activity,
         "features_sink": features_sink,
         "row_count": on_raw(profiling.row_count, "userId"),
-        "split_counts": split_counts,
-        "user_counts": user_counts,
+        "split_counts": on_split(lambda rows: rows.groupBy("split").agg(F.count("*").alias("n"))),
+        "user_counts": on_features(user_counts),
         "preview": on_raw(lambda log: profiling.preview(log, _RAW_ORDER)),
         "schema_report": on_raw(profiling.schema_report),
         "clean_strings": on_raw(clean_strings),
@@ -274,13 +275,18 @@ def queries() -> dict[str, Query]:
         "users_by_gender_label": on_clean(lambda log: breakdown.users_by(log, "gender"), "page", "gender"),
         "avg_registered_days": on_clean(breakdown.avg_registered_days, "page", "registration"),
         "events_by_gender_level": on_clean(
-            lambda log: breakdown.event_counts(log, "gender", "level"), "gender", "level"
+            lambda log: breakdown.fewest_first(breakdown.event_counts(log, "gender", "level")), "gender", "level"
         ),
         "sessions_per_user": on_clean(breakdown.sessions_per_user, "page", "sessionId"),
         "avg_item_in_session": on_clean(breakdown.avg_item_in_session, "page", "itemInSession"),
-        "events_by_level_label": on_clean(lambda log: breakdown.events_by(log, "level"), "page", "level"),
+        "events_by_level_label": on_clean(
+            lambda log: breakdown.fewest_first(breakdown.events_by(log, "level")), "page", "level"
+        ),
         "events_by_state_label": on_clean(
-            lambda log: breakdown.label_share(breakdown.events_by(log, "location"), "location"), "page", "location"
+            lambda log: breakdown.fewest_first(
+                breakdown.label_share(breakdown.events_by(log, "location"), "location")
+            ),
+            "page", "location",
         ),
         "crosstab_gender_level": on_clean(
             lambda log: breakdown.crosstab(breakdown.event_counts(log, "gender", "level"), "level", "gender", ["F", "M"]),
@@ -311,16 +317,14 @@ def queries() -> dict[str, Query]:
         ),
         "string_index": on_model_data(lambda data: prepare.index_values(data.fitted, data.features)),
         "prepare_features": on_model_data(
-            lambda data: data.rows.select("userId", "label", *[f"{c}_index" for c in prepare.INDEXED], "split")
+            lambda data: data.rows.select("userId", "label", *[f"{c}_index" for c in INDEXED], "split")
         ),
         "feature_vector": on_model_data(lambda data: prepare.vector_entries(data.rows)),
-        "data_split": on_model_data(lambda data: data.rows.select("userId", "split")),
-        "stratified_sample": on_model_data(
-            lambda data: sampling.stratified_sample(data.train).select("userId", "label")
-        ),
-        "class_balance": on_model_data(lambda data: sampling.class_balance(data.train)),
-        "confusion_matrix": on_model_data(lambda data: scoring.confusion_matrix(_rule_scores(data))),
-        "classification_metrics": on_model_data(lambda data: scoring.classification_metrics(_rule_scores(data))),
+        "data_split": on_split(lambda rows: rows.select("userId", "split")),
+        "stratified_sample": on_train(lambda rows: sampling.stratified_sample(rows).select("userId", "label")),
+        "class_balance": on_train(sampling.class_balance),
+        "confusion_matrix": on_split(lambda rows: scoring.confusion_matrix(_rule_scores(rows))),
+        "classification_metrics": on_split(lambda rows: scoring.classification_metrics(_rule_scores(rows))),
         "model_tree": _model("decision_tree"),
         "model_logistic": _model("logistic_regression"),
         "model_forest": _model("random_forest"),
@@ -330,6 +334,7 @@ def queries() -> dict[str, Query]:
         "model_comparison_stratified": model_comparison_stratified,
         "model_roundtrip": model_roundtrip,
         "tune_tree": on_tuned(TunedTree.grid),
+        "tune_tree_wide": tune_tree_wide,
         "best_params": on_tuned(TunedTree.best_params),
         "feature_importance": on_tuned(TunedTree.importances),
         "validation_metrics": validation_metrics,

@@ -28,15 +28,16 @@ CLASSIFIERS: dict[str, Callable[[], Estimator]] = {
 }
 
 
-def classifier(name: str) -> Estimator:
+def classifier(name: str, **params) -> Estimator:
+    """The named classifier; ``params`` override its settings."""
     if name not in CLASSIFIERS:
         raise ValueError(f"unknown classifier {name!r}; known: {', '.join(CLASSIFIERS)}")
-    return CLASSIFIERS[name]()
+    return CLASSIFIERS[name]().setParams(**params)
 
 
-def fit_predict(train: DataFrame, test: DataFrame, name: str) -> tuple[Model, DataFrame]:
+def fit_predict(train: DataFrame, test: DataFrame, name: str, **params) -> tuple[Model, DataFrame]:
     """Fit the named classifier on ``train`` and add its predictions to ``test``."""
-    model = classifier(name).fit(train)
+    model = classifier(name, **params).fit(train)
     return model, model.transform(test)
 
 

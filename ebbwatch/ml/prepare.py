@@ -10,10 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbwatch.plans.features import feature_columns
-
-# The columns that are indexed.
-INDEXED = ("gender", "location", "valid_level")
+from ebbwatch.plans.features import INDEXED, feature_columns
 
 
 def preparation_pipeline(inputs: Sequence[str], include_indexed: bool = False) -> Pipeline:

@@ -16,8 +16,12 @@ from ebbwatch.operators.label import CANCEL_PAGES, churn_flag
 
 
 def event_counts(log: DataFrame, *columns: str) -> DataFrame:
-    """Events by the given columns, nulls included, fewest first."""
-    return log.groupBy(*columns).agg(F.count("*").alias("n")).orderBy("n", *columns)
+    """Events by the given columns, nulls included."""
+    return log.groupBy(*columns).agg(F.count("*").alias("n"))
+
+
+def fewest_first(counts: DataFrame) -> DataFrame:
+    return counts.orderBy("n", *[c for c in counts.columns if c != "n"])
 
 
 def _labelled(clean: DataFrame, attribute: str, cancel_pages: Sequence[str]) -> DataFrame:
@@ -36,11 +40,8 @@ def users_by(clean: DataFrame, attribute: str, cancel_pages: Sequence[str] = CAN
 
 
 def events_by(clean: DataFrame, attribute: str, cancel_pages: Sequence[str] = CANCEL_PAGES) -> DataFrame:
-    """Events by attribute value and label, fewest first."""
-    return (
-        _labelled(clean, attribute, cancel_pages)
-        .groupBy(attribute, "label").agg(F.sum("n").alias("n")).orderBy("n", attribute, "label")
-    )
+    """Events by attribute value and label."""
+    return _labelled(clean, attribute, cancel_pages).groupBy(attribute, "label").agg(F.sum("n").alias("n"))
 
 
 def label_share(counts: DataFrame, attribute: str) -> DataFrame:

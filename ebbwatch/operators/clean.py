@@ -33,7 +33,8 @@ def clean_activity(log: DataFrame) -> DataFrame:
     are dropped. Works on any subset of the log's columns that has userId, ts and auth,
     so callers read only what they need.
     """
-    clean = event_time(clean_strings(log)).withColumn("userId", F.col("userId").try_cast("bigint"))
+    known = log.where(F.col("userId").isNotNull() & F.col("auth").isNotNull())
+    clean = event_time(clean_strings(known)).withColumn("userId", F.col("userId").try_cast("bigint"))
     if "location" in clean.columns:
         clean = clean.withColumn("location", state_of(F.col("location")))
     return clean.where(F.col("userId").isNotNull() & (F.col("auth") != "LoggedOut"))

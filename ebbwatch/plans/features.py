@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,6 +13,9 @@ from ebbwatch.operators.account import account_rows, avg_length
 from ebbwatch.operators.behaviour import discover_pages, user_behaviour
 from ebbwatch.operators.label import CANCEL_PAGES
 
+# The text columns that are indexed for the models.
+INDEXED = ("gender", "location", "valid_level")
+
 
 def user_features(
     clean: DataFrame,
@@ -28,12 +32,16 @@ def user_features(
     """
     if pages is None:
         pages = discover_pages(clean)
-    features = account_rows(clean, cancel_pages).join(user_behaviour(clean, pages, month_grain=month_grain), "userId")
+    features = feature_table(account_rows(clean, cancel_pages), user_behaviour(clean, pages, month_grain=month_grain))
     if with_avg_length:
         features = features.join(avg_length(clean), "userId")
     return features
 
 
+def feature_table(accounts: DataFrame, behaviour: DataFrame) -> DataFrame:
+    return accounts.join(behaviour, "userId")
+
+
 def feature_columns(features: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
     """Model inputs in schema order: every non-string column but the key and the label."""
     left_out = {"userId", "label", *exclude}
@@ -43,6 +51,22 @@ def feature_columns(features: DataFrame, exclude: Sequence[str] = ()) -> list[st
     ]
 
 
+def _complete(features: DataFrame, exclude: Sequence[str] = ()) -> Column:
+    present = [F.col(f"`{c}`").isNotNull() for c in (*INDEXED, *feature_columns(features, exclude))]
+    return reduce(Column.__and__, present)
+
+
+def complete_rows(features: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
+    """The rows that have all a model needs: the same rows that the preparation pipeline
+    keeps, without fitting it."""
+    return features.where(_complete(features, exclude))
+
+
+def user_counts(features: DataFrame) -> DataFrame:
+    """Feature rows, and how many of them are complete."""
+    return features.agg(F.count("*").alias("n_feature_rows"), F.count_if(_complete(features)).alias("n_model_rows"))
+
+
 def feature_report(features: DataFrame) -> DataFrame:
     """(position, feature, data_type, n_present): the model inputs and how many rows have them."""
     names = feature_columns(features)

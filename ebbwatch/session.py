@@ -20,18 +20,22 @@ def scratch_dir(spark: SparkSession) -> str:
     Only a local-mode session may do without the setting: its driver and its
     executors are one process, so a folder of its own is shared by definition.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-        folder = tempfile.mkdtemp(prefix="ebbwatch-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="ebbwatch-", dir="/tmp"))
+        folder = context.getCheckpointDir()
     return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path per call, so that re-runs never see or overwrite older output."""
-    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path per call, so that re-runs never see or overwrite older output.
+
+    The paths of an application share one folder, which can go once the application ends.
+    """
+    return f"{scratch_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def write_table(df: DataFrame, name: str) -> DataFrame:

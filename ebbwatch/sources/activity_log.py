@@ -39,13 +39,16 @@ def write_json_log(log: DataFrame, path: str) -> None:
     log.write.json(path)
 
 
-def land_clean_log(clean: DataFrame, path: str) -> None:
+def land_clean_log(clean: DataFrame, path: str, files_hold_few_days: bool = False) -> None:
     """Keep the cleaned log as parquet by date, so that later scans prune days and columns.
 
     The rebalance hint lets the adaptive planner join small dates' blocks and split
-    large dates, so a hot day becomes several files rather than one huge task.
+    large dates, so a hot day becomes several files rather than one huge task. It costs
+    one shuffle, without which every task would write a file for every date it meets.
+    Where the log's files hold a day or a few each, the shuffle is not needed.
     """
-    clean.hint("rebalance", "date").write.partitionBy("date").parquet(path)
+    rows = clean if files_hold_few_days else clean.hint("rebalance", "date")
+    rows.write.partitionBy("date").parquet(path)
 
 
 def read_clean_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
