@@ -18,10 +18,10 @@ from ebbwatch.operators import account, behaviour, breakdown, histogram, label,
 from ebbwatch.operators.clean import clean_activity, clean_strings, event_time
 from ebbwatch.plans.features import INDEXED, complete_rows, feature_report, feature_table, user_counts
 from ebbwatch.plans.modelling import ModelData, model_data
-from ebbwatch.session import scratch_path, use_utc, write_table
+from ebbwatch.session import scratch_path, prepare_session, write_table
 from ebbwatch.sources import activity_log as logs
 from ebbwatch.sources.star_tables import PAGES, activity_log
-from oracle.sql import statements
+from sqlchecks.statements import statements
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,7 +45,7 @@ def _published(df: DataFrame) -> DataFrame:
 
 
 def _raw(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    return activity_log(use_utc(spark), sf_dir, *columns)
+    return activity_log(prepare_session(spark), sf_dir, *columns)
 
 
 def _clean(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:

@@ -76,7 +76,7 @@ def user_behaviour(
     if sessions:
         per_period["sessions"] = F.count("sessionId")
     for name, page in zip(visits, wanted):
-        per_day[name] = F.count_if(F.col("page") == page)
+        per_day[name] = F.count(F.when(F.col("page") == page, 1))
         per_session[name] = F.sum(name)
         per_period[name] = F.sum(name)
 

@@ -19,7 +19,7 @@ from ebbwatch.operators.behaviour import discover_pages
 from ebbwatch.operators.clean import clean_activity
 from ebbwatch.plans.features import user_features
 from ebbwatch.plans.modelling import ModelData, model_data
-from ebbwatch.session import use_utc
+from ebbwatch.session import prepare_session
 from ebbwatch.sources import activity_log as logs
 
 
@@ -33,7 +33,7 @@ def train(
     max_depth: Sequence[int] = (5, 15),
 ) -> dict[str, DataFrame]:
     """Run the job and return the result tables, all of which are also written."""
-    use_utc(spark)
+    prepare_session(spark)
     clean = clean_activity(logs.read_json_log(spark, log_path))
     logs.land_clean_log(clean, f"{output_path}/clean_log")
     landed = logs.read_clean_log(spark, f"{output_path}/clean_log", clean.schema)

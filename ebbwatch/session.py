@@ -8,9 +8,17 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Dates and months follow the session time zone; every engine must agree on it."""
+def prepare_session(spark: SparkSession) -> SparkSession:
+    """Settings that the results (time zone) and the speed (code size) depend on.
+
+    Dates and months follow the session time zone; every engine must agree on it.
+
+    HotSpot never compiles methods over 8,000 bytes. Cleaning a dozen text columns makes one
+    of that size, which would then be interpreted row by row, several times slower. With the
+    limit, Spark runs such a stage from smaller methods instead.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return spark
 
 
