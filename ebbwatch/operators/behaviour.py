@@ -1,8 +1,7 @@
 """Daily and monthly means of what a user does.
 
 All means are means of period values, and durations are means of means: per session,
-then per (user, period), then per user. One pipeline serves both grains: the log is
-first reduced to days, then every reduced row is counted towards its day and its month.
+then per (user, period), then per user. One pipeline serves both grains.
 """
 
 from __future__ import annotations
@@ -51,7 +50,7 @@ def user_behaviour(
 
     The log is read once and no join is needed. Every step is a hash aggregate that
     combines on the map side, so a hot user or day never meets in one task before it
-    has been reduced to sessions, then to periods, then to one row.
+    has been reduced to sessions per period, then to periods, then to one row.
     """
     unknown = [*set(metrics) - set(METRICS), *set(grains) - set(GRAINS)]
     if unknown:
@@ -59,39 +58,35 @@ def user_behaviour(
     wanted = feature_pages(pages) if "pages" in metrics else []
     visits = [f"visits_{i}" for i in range(len(wanted))]
     duration, items, sessions = (m in metrics for m in ("duration", "items", "sessions"))
-    # The session is a key only for the metrics that look at single sessions.
-    session = ["sessionId"] if duration or sessions else []
-
-    per_day: dict[str, Column] = {}
     per_session: dict[str, Column] = {}
     per_period: dict[str, Column] = {}
     if duration:
-        per_day |= {"start": F.min("ts"), "end": F.max("ts")}
-        per_session |= {"start": F.min("start"), "end": F.max("end")}
+        per_session |= {"start": F.min("ts"), "end": F.max("ts")}
         per_period["duration"] = F.avg((F.col("end") - F.col("start")) * 0.001)
     if items:
-        per_day["items"] = F.max("itemInSession")
-        per_session["items"] = F.max("items")
+        per_session["items"] = F.max("itemInSession")
         per_period["items"] = F.max("items")
-    if sessions:
-        per_period["sessions"] = F.count("sessionId")
     for name, page in zip(visits, wanted):
-        per_day[name] = F.count(F.when(F.col("page") == page, 1))
-        per_session[name] = F.sum(name)
+        per_session[name] = F.count(F.when(F.col("page") == page, 1))
         per_period[name] = F.sum(name)
 
-    days = _grouped(clean, ["userId", "date", *session], per_day)
+    # Each event counts towards its day and towards its month. The copies meet a hash
+    # aggregate in the same stage, so only reduced rows are shuffled.
     periods = {"daily": F.unix_date("date"), "monthly": _month(month_grain)}
-    both = days.withColumn(
-        "slot",
-        F.explode(F.array(*[F.struct(F.lit(g).alias("grain"), periods[g].alias("period")) for g in grains])),
-    ).withColumns({"grain": F.col("slot.grain"), "period": F.col("slot.period")})
-    if session:
-        both = _grouped(both, ["userId", "grain", "period", "sessionId"], per_session)
-    by_period = _grouped(both, ["userId", "grain", "period"], per_period)
+    code = {g: i for i, g in enumerate(GRAINS)}
+    slots = [F.struct(F.lit(code[g]).alias("grain"), periods[g].alias("period")) for g in grains]
+    events = clean.select("*", F.inline(F.array(*slots)))
+    if duration or sessions:
+        if sessions:
+            per_period["sessions"] = F.count("sessionId")
+        by_session = _grouped(events, ["userId", "grain", "period", "sessionId"], per_session)
+        by_period = _grouped(by_session, ["userId", "grain", "period"], per_period)
+    else:
+        # Only the metrics above look at single sessions.
+        by_period = _grouped(events, ["userId", "grain", "period"], per_session)
 
     def mean(grain: str, name: str) -> Column:
-        return F.avg(F.when(F.col("grain") == grain, F.col(name)))
+        return F.avg(F.when(F.col("grain") == code[grain], F.col(name)))
 
     out: dict[str, Column] = {}
     if duration:
@@ -101,7 +96,7 @@ def user_behaviour(
     for g in grains:
         # Periods without a visit to the page do not count; a page never seen gives 0.
         for name, page in zip(visits, wanted):
-            seen = F.when((F.col("grain") == g) & (F.col(name) > 0), F.col(name))
+            seen = F.when((F.col("grain") == code[g]) & (F.col(name) > 0), F.col(name))
             out[f"avg_{g}_{page}"] = F.coalesce(F.avg(seen), F.lit(0.0))
     if sessions:
         out |= {f"avg_{g}_sessions": mean(g, "sessions") for g in grains}
