@@ -50,7 +50,7 @@ raw AS (
          CASE WHEN page = 'NextSong' THEN 'Song #' || k || ' (live)' END AS song,
          CASE WHEN page = 'Error' THEN 404
               WHEN page IN ('Cancel', 'Logout', 'Submit Upgrade', 'Submit Downgrade') THEN 307
-              ELSE 200 END AS status,
+              ELSE 200 END::BIGINT AS status,
          ts,
          CASE WHEN page <> 'Logout' THEN 'Mozilla/5.0 (agent ' || (user_id % 5) || ')' END AS "userAgent",
          CASE WHEN page = 'Logout' AND k < 5 THEN '' ELSE CAST(user_id AS VARCHAR) END AS "userId"
@@ -93,7 +93,7 @@ stripped AS (SELECT {_STRIPPED} FROM raw),
 clean AS (
   SELECT * REPLACE (TRY_CAST("userId" AS BIGINT) AS "userId", string_split(location, ',')[2] AS location),
          make_timestamp((ts // 1000) * 1000000) AS interaction_time,
-         month(make_timestamp((ts // 1000) * 1000000)) AS "month",
+         month(make_timestamp((ts // 1000) * 1000000))::INTEGER AS "month",
          CAST(make_timestamp((ts // 1000) * 1000000) AS DATE) AS "date",
          CASE WHEN page IN ('Cancellation Confirmation', 'Cancel') OR auth = 'Cancelled' THEN 1 ELSE 0 END AS flag
   FROM stripped
@@ -213,7 +213,7 @@ ranges AS (
 counted AS (
   SELECT {by}, least(CAST(floor((x - a) / (b - a) * 10) AS INTEGER), 9) AS bin, count(*) AS n
   FROM nums JOIN ranges USING ({by}) GROUP BY ALL),
-edges AS (SELECT {by}, a, b, unnest(range(10)) AS bin FROM ranges)
+edges AS (SELECT {by}, a, b, unnest(range(10))::INTEGER AS bin FROM ranges)
 SELECT {by}, bin, {_r_large("a + (b - a) / 10 * bin")} AS lo, {_r_large("a + (b - a) / 10 * (bin + 1)")} AS hi,
        coalesce(n, 0) AS n
 FROM edges LEFT JOIN counted USING ({by}, bin)"""
@@ -249,8 +249,8 @@ def _pivot(period: str, out: str) -> str:
 
 
 def _crosstab(source: str, index: str, column: str, values: list[tuple[str, str]]) -> str:
-    cells = ", ".join(f'sum(n) FILTER (WHERE {column} = {lit}) AS "{name}"' for lit, name in values)
-    return f"""SELECT {index}, {cells}, sum(n) FILTER (WHERE {column} IS NULL) AS missing
+    cells = ", ".join(f'sum(n) FILTER (WHERE {column} = {lit})::BIGINT AS "{name}"' for lit, name in values)
+    return f"""SELECT {index}, {cells}, sum(n) FILTER (WHERE {column} IS NULL)::BIGINT AS missing
 FROM ({source}) GROUP BY {index}"""
 
 
@@ -330,7 +330,7 @@ def statements() -> dict[str, str]:
         "clean_strings": _clean(f"SELECT {_RAW_LIST} FROM stripped"),
         "event_time": _raw(
             """SELECT "userId", ts, ts // 1000 AS interaction_second,
-       month(make_timestamp((ts // 1000) * 1000000)) AS "month",
+       month(make_timestamp((ts // 1000) * 1000000))::INTEGER AS "month",
        CAST(CAST(make_timestamp((ts // 1000) * 1000000) AS DATE) AS VARCHAR) AS "date" FROM raw"""
         ),
         "clean_activity": clean_all,
