@@ -13,10 +13,10 @@ def histogram(values: DataFrame, by: str, value: str, bins: int = 10) -> DataFra
 
     ``by`` is a feature name or a class label, so there are few groups. Bins are closed
     on the left, the last one on both sides; empty bins are listed with n = 0. A group
-    of equal values gets a range of width one around its value. Values are reduced to
-    (by, bin) counts before any shuffle.
+    of equal values gets a range of width one around its value. Nulls and NaN are left out.
+    Values are reduced to (by, bin) counts before any shuffle.
     """
-    numbers = values.select(by, F.col(value).cast("double").alias("x")).where(F.col("x").isNotNull())
+    numbers = values.select(by, F.col(value).cast("double").alias("x")).where("x is not null and not isnan(x)")
     same = F.col("x_min") == F.col("x_max")
     ranges = (
         numbers.groupBy(by).agg(F.min("x").alias("x_min"), F.max("x").alias("x_max"))

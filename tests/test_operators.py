@@ -21,7 +21,7 @@ def test_stripped_equals_the_plain_pattern(spark):
 
 @pytest.mark.parametrize("values", [[1.0, 2.0, 2.0, 11.0], [3.0, 3.0], [float(i % 37) for i in range(500)]])
 def test_histogram_agrees_with_numpy(spark, values):
-    frame = spark.createDataFrame([("a", v) for v in values] + [("a", None)], "by string, v double")
+    frame = spark.createDataFrame([("a", v) for v in values] + [("a", None), ("a", float("nan"))], "by string, v double")
     rows = histogram.histogram(frame, "by", "v").orderBy("bin").collect()
     counts, edges = np.histogram(values, bins=10)
     assert [r.n for r in rows] == list(counts)
