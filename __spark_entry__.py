@@ -23,6 +23,15 @@ from ebbwatch.sources import activity_log as logs
 from ebbwatch.sources.star_tables import PAGES, activity_log
 from sqlchecks.statements import statements
 
+try:  # the corpus operators may be left out of a deployment
+    from ebbwatch.llm.registry import corpus_queries, corpus_statements
+except ModuleNotFoundError as error:
+    if error.name not in ("ebbwatch.llm", "ebbwatch.llm.registry", "corpus_pipeline"):
+        raise
+    _CORPUS_QUERIES, _CORPUS_STATEMENTS = {}, {}
+else:
+    _CORPUS_QUERIES, _CORPUS_STATEMENTS = corpus_queries(), corpus_statements()
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 _RAW_ORDER = ["ts", "userId", "sessionId", "itemInSession"]
@@ -196,6 +205,10 @@ def feature_histograms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """Each query takes a session and a folder of tables and gives a DataFrame."""
+    return _log_queries() | _CORPUS_QUERIES
+
+
+def _log_queries() -> dict[str, Query]:
 
     def on_raw(operator, *columns: str) -> Query:
         return lambda spark, sf_dir: _published(operator(_raw(spark, sf_dir, *columns)))
@@ -348,7 +361,7 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB statements for the queries that SQL can state; model fits have none."""
-    return statements()
+    return statements() | _CORPUS_STATEMENTS
 
 
 def entry(spark: SparkSession) -> DataFrame:
