@@ -24,7 +24,7 @@ from ebbwatch.session import write_table
 WINDOW = 2048
 SEPARATOR = 1
 CACHE_ENTRIES = 400_000
-BUCKET_ROWS = 20_000  # pieces that one window task numbers, about
+BUCKET_ROWS = 2_000  # pieces that one window task numbers, about
 _CACHES: dict[str, dict[str, bytes]] = {}  # of this worker process, by vocabulary
 
 Encoder = Callable[[list[str]], list[bytes]]

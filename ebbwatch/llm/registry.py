@@ -6,14 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ebbwatch.llm.decontamination import op10_decontamination
+from ebbwatch.llm.language_id import op5_language_id
 from ebbwatch.llm.packing import op8_packing
+from ebbwatch.llm.pseudonyms import op7_pseudonyms
+from ebbwatch.llm.sharding import op4_sharding
+from ebbwatch.llm.similarity_join import op9_similarity_join
 from ebbwatch.llm.token_counts import op6_token_counts
 
 
 def corpus_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op4_sharding": op4_sharding,
+        "op5_language_id": op5_language_id,
         "op6_token_counts": op6_token_counts,
+        "op7_pseudonyms": op7_pseudonyms,
         "op8_packing": op8_packing,
+        "op9_similarity_join": op9_similarity_join,
+        "op10_decontamination": op10_decontamination,
     }
 
 

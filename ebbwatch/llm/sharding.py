@@ -21,7 +21,7 @@ SHARDS = 40
 ROW_OVERHEAD = 16
 BINS = 1024
 EXACT_ROWS = 2_000  # rows of a cell that the driver may see to fix a cut
-BUCKET_ROWS = 20_000  # rows that one window task numbers, about
+BUCKET_ROWS = 2_000  # rows that one window task numbers, about
 
 
 @dataclass
