@@ -8,15 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ebbwatch.llm.decontamination import op10_decontamination
 from ebbwatch.llm.language_id import op5_language_id
+from ebbwatch.llm.nearest import op2_nearest
 from ebbwatch.llm.packing import op8_packing
 from ebbwatch.llm.pseudonyms import op7_pseudonyms
 from ebbwatch.llm.sharding import op4_sharding
 from ebbwatch.llm.similarity_join import op9_similarity_join
 from ebbwatch.llm.token_counts import op6_token_counts
+from ebbwatch.llm.toxicity import op3_toxicity
 
 
 def corpus_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_nearest": op2_nearest,
+        "op3_toxicity": op3_toxicity,
         "op4_sharding": op4_sharding,
         "op5_language_id": op5_language_id,
         "op6_token_counts": op6_token_counts,
