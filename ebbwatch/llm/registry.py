@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ebbwatch.llm.decontamination import op10_decontamination
+from ebbwatch.llm.exact_dedup import op1_exact_dedup
 from ebbwatch.llm.language_id import op5_language_id
 from ebbwatch.llm.nearest import op2_nearest
 from ebbwatch.llm.packing import op8_packing
@@ -19,6 +20,7 @@ from ebbwatch.llm.toxicity import op3_toxicity
 
 def corpus_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_exact_dedup": op1_exact_dedup,
         "op2_nearest": op2_nearest,
         "op3_toxicity": op3_toxicity,
         "op4_sharding": op4_sharding,
