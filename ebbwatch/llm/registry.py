@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
+
 from ebbwatch.llm.decontamination import op10_decontamination
 from ebbwatch.llm.exact_dedup import op1_exact_dedup
 from ebbwatch.llm.language_id import op5_language_id
@@ -30,6 +32,7 @@ def corpus_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_packing": op8_packing,
         "op9_similarity_join": op9_similarity_join,
         "op10_decontamination": op10_decontamination,
+        "pipeline": corpus_pipeline.run,
     }
 
 
