@@ -1,4 +1,4 @@
-"""The corpus queries, and the SQL of those that SQL can state."""
+"""The corpus queries."""
 
 from __future__ import annotations
 
@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-
 from ebbwatch.llm.decontamination import op10_decontamination
 from ebbwatch.llm.exact_dedup import op1_exact_dedup
 from ebbwatch.llm.language_id import op5_language_id
@@ -35,6 +34,3 @@ def corpus_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pipeline": corpus_pipeline.run,
     }
 
-
-def corpus_statements() -> dict[str, str]:
-    return {}
