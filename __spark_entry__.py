@@ -24,7 +24,8 @@ from ebbwatch.sources.star_tables import PAGES, activity_log
 from sqlchecks.statements import statements
 
 try:  # the corpus operators may be left out of a deployment
-    from ebbwatch.llm.registry import corpus_queries, corpus_statements
+    from ebbwatch.llm.registry import corpus_queries
+    from ebbwatch.llm.statements import corpus_statements
 except ModuleNotFoundError as error:
     if error.name not in ("ebbwatch.llm", "ebbwatch.llm.registry", "corpus_pipeline"):
         raise
