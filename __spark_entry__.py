@@ -20,7 +20,7 @@ from ebbwatch.plans.features import INDEXED, complete_rows, feature_report, feat
 from ebbwatch.plans.modelling import ModelData, model_data
 from ebbwatch.session import scratch_path, prepare_session, write_table
 from ebbwatch.sources import activity_log as logs
-from ebbwatch.sources.star_tables import PAGES, activity_log
+from ebbwatch.sources.star_tables import activity_log
 from sqlchecks.statements import statements
 
 try:  # the corpus operators may be left out of a deployment
@@ -64,13 +64,18 @@ def _clean(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return clean_activity(_raw(spark, sf_dir, *named))
 
 
+def _pages(spark: SparkSession, sf_dir: str) -> list[str]:
+    return behaviour.discover_pages(_clean(spark, sf_dir, "page"))
+
+
 def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The account columns cost a join of the events; the behaviour does without it.
     accounts = account.account_rows(
         _clean(spark, sf_dir, "page", "level", "gender", "location", "registration", "itemInSession")
     )
     return feature_table(
-        accounts, behaviour.user_behaviour(_clean(spark, sf_dir, "page", "sessionId", "itemInSession"), PAGES)
+        accounts,
+        behaviour.user_behaviour(_clean(spark, sf_dir, "page", "sessionId", "itemInSession"), _pages(spark, sf_dir)),
     )
 
 
@@ -233,7 +238,7 @@ def _log_queries() -> dict[str, Query]:
         return lambda spark, sf_dir: operator(_tuned(spark, sf_dir)[1], spark)
 
     def pages(*grains: str) -> Query:
-        return on_clean(lambda log: behaviour.page_visits(log, PAGES, grains), "page")
+        return on_clean(lambda log: behaviour.page_visits(log, behaviour.discover_pages(log), grains), "page")
 
     return {
         "scan_activity": scan_activity,
@@ -266,8 +271,8 @@ def _log_queries() -> dict[str, Query]:
         "session_duration": on_clean(behaviour.session_duration, "sessionId"),
         "items": on_clean(behaviour.items, "itemInSession"),
         "session_counts": on_clean(behaviour.session_counts, "sessionId"),
-        "page_pivot_daily": on_clean(lambda log: behaviour.page_pivot(log, "date", PAGES), "page"),
-        "page_pivot_monthly": on_clean(lambda log: behaviour.page_pivot(log, "month", PAGES), "page"),
+        "page_pivot_daily": on_clean(lambda log: behaviour.page_pivot(log, "date", behaviour.discover_pages(log)), "page"),
+        "page_pivot_monthly": on_clean(lambda log: behaviour.page_pivot(log, "month", behaviour.discover_pages(log)), "page"),
         "page_visits_daily": pages("daily"),
         "page_visits_monthly": pages("monthly"),
         "page_visits": pages("daily", "monthly"),

@@ -12,9 +12,8 @@ MS_PER_DAY = 86_400_000
 # The ASCII characters that the pattern matches.
 _UNWANTED_ASCII = "".join(c for c in map(chr, range(128)) if not (c.isalnum() or c in ",-"))
 
-# Room for the position in a session within a recency key.
-_POSITION_BITS = 20
-_LAST_POSITION = (1 << _POSITION_BITS) - 1
+# More than there are positions: the longs, and null.
+_POSITIONS = (1 << 64) + 1
 
 
 def stripped(text: Column) -> Column:
@@ -40,15 +39,17 @@ def instant(ts: Column) -> Column:
 
 
 def recency(ts: Column, position: Column | None = None) -> Column:
-    """One long that orders events by time, then by position within the session.
+    """One decimal that orders events by time, then by position within the session, null first.
 
-    A long instead of struct(ts, position) keeps the aggregation buffer fixed-width,
-    which a hash aggregate needs; a struct buffer would make Spark sort the whole log.
-    Holds for times before the year 2248. Positions past 2^20 - 1 share a rank; they
-    only ever break ties within the same millisecond.
+    A decimal instead of struct(ts, position) keeps the aggregation buffer fixed-width, which a
+    hash aggregate needs; a struct buffer would make Spark sort the whole log. Exact for every
+    position; a time too far off for 38 digits, over 5.4e18 ms, is an error.
     """
-    rank = F.lit(0) if position is None else F.least(F.coalesce(position, F.lit(0)), F.lit(_LAST_POSITION))
-    return F.shiftleft(ts, _POSITION_BITS) + rank
+    whole = "decimal(20,0)"
+    rank = F.lit(0).cast(whole)
+    if position is not None:
+        rank = F.coalesce(position.cast(whole) + F.lit(str((1 << 63) + 1)).cast(whole), rank)
+    return ts.cast(whole) * F.lit(str(_POSITIONS)).cast(whole) + rank.cast("decimal(38,0)")
 
 
 def whole_days(later: Column, earlier: Column) -> Column:

@@ -7,6 +7,7 @@ then per (user, period), then per user. One pipeline serves both grains.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,15 +49,14 @@ def user_behaviour(
 ) -> DataFrame:
     """One row per user with avg_<grain>_* columns for the chosen metrics and grains.
 
-    The log is read once and no join is needed. Every step is a hash aggregate that
-    combines on the map side, so a hot user or day never meets in one task before it
-    has been reduced to sessions per period, then to periods, then to one row.
+    The log is read once for the pages and once for all else; both come out hashed by user. Every
+    step is a hash aggregate that combines on the map side, so a hot user or day never meets in
+    one task before it has been reduced to sessions per period, then to periods, then to one row.
+    A page of the log that is not among ``pages`` is an error.
     """
     unknown = [*set(metrics) - set(METRICS), *set(grains) - set(GRAINS)]
     if unknown:
         raise ValueError(f"unknown metrics or grains: {sorted(unknown)}")
-    wanted = feature_pages(pages) if "pages" in metrics else []
-    visits = [f"visits_{i}" for i in range(len(wanted))]
     duration, items, sessions = (m in metrics for m in ("duration", "items", "sessions"))
     per_session: dict[str, Column] = {}
     per_period: dict[str, Column] = {}
@@ -66,14 +66,25 @@ def user_behaviour(
     if items:
         per_session["items"] = F.max("itemInSession")
         per_period["items"] = F.max("items")
-    for name, page in zip(visits, wanted):
-        per_session[name] = F.count(F.when(F.col("page") == page, 1))
-        per_period[name] = F.sum(name)
+
+    def mean(grain: str, name: str) -> Column:
+        return F.avg(F.when(F.col("grain") == code[grain], F.col(name)))
+
+    code = {g: i for i, g in enumerate(GRAINS)}
+    out: dict[str, Column] = {}
+    if duration:
+        out |= {f"avg_{g}_session_duration": mean(g, "duration") for g in grains}
+    if items:
+        out |= {f"avg_{g}_items": mean(g, "items") for g in grains}
+    before = ["userId", *out]
+    if sessions:
+        out |= {f"avg_{g}_sessions": mean(g, "sessions") for g in grains}
+    if not out:
+        return _page_means(clean, pages, grains, month_grain) if "pages" in metrics else clean.select("userId").distinct()
 
     # Each event counts towards its day and towards its month. The copies meet a hash
     # aggregate in the same stage, so only reduced rows are shuffled.
     periods = {"daily": F.unix_date("date"), "monthly": _month(month_grain)}
-    code = {g: i for i, g in enumerate(GRAINS)}
     slots = [F.struct(F.lit(code[g]).alias("grain"), periods[g].alias("period")) for g in grains]
     events = clean.select("*", F.inline(F.array(*slots)))
     if duration or sessions:
@@ -84,23 +95,43 @@ def user_behaviour(
     else:
         # Only the metrics above look at single sessions.
         by_period = _grouped(events, ["userId", "grain", "period"], per_session)
+    behaviour = _grouped(by_period, ["userId"], out)
+    if "pages" not in metrics or not feature_pages(pages):
+        return behaviour
+    visits = _page_means(clean, pages, grains, month_grain)
+    columns = [*before, *visits.columns[1:], *behaviour.columns[len(before):]]
+    return behaviour.join(visits, "userId").select(*[F.col(f"`{c}`") for c in columns])
 
-    def mean(grain: str, name: str) -> Column:
-        return F.avg(F.when(F.col("grain") == code[grain], F.col(name)))
 
-    out: dict[str, Column] = {}
-    if duration:
-        out |= {f"avg_{g}_session_duration": mean(g, "duration") for g in grains}
-    if items:
-        out |= {f"avg_{g}_items": mean(g, "items") for g in grains}
-    for g in grains:
-        # Periods without a visit to the page do not count; a page never seen gives 0.
-        for name, page in zip(visits, wanted):
-            seen = F.when((F.col("grain") == code[g]) & (F.col(name) > 0), F.col(name))
-            out[f"avg_{g}_{page}"] = F.coalesce(F.avg(seen), F.lit(0.0))
-    if sessions:
-        out |= {f"avg_{g}_sessions": mean(g, "sessions") for g in grains}
-    return _grouped(by_period, ["userId"], out)
+def page_counts(clean: DataFrame, pages: Sequence[str]) -> DataFrame:
+    """(userId, date, page, n): visits in long form, which stays as narrow with any number of pages.
+
+    A page that is neither listed nor one without a feature is an error.
+    """
+    counts = clean.groupBy("userId", "date", "page").agg(F.count("*").alias("n"))
+    known = F.col("page").isNull() | F.col("page").isin(*{*pages, *PAGES_WITHOUT_FEATURE})
+    message = F.concat(F.lit("page without a column: "), "page")
+    return counts.withColumn("page", F.when(known, F.col("page")).otherwise(F.raise_error(message)))
+
+
+def _page_means(clean: DataFrame, pages: Sequence[str], grains: Sequence[str], month_grain: str) -> DataFrame:
+    """(userId, avg_<grain>_<page>...): mean visits over the periods with a visit, 0 for a page never seen.
+
+    Days are counted from the log and months from the days; only rows of a user and a page become columns.
+    """
+    daily = page_counts(clean, pages)
+    monthly = daily.groupBy("userId", _month(month_grain).alias("period"), "page").agg(F.sum("n").alias("n"))
+    periods = {"daily": daily, "monthly": monthly}
+    parts = [
+        periods[g].groupBy("userId", "page").agg(F.avg("n").alias("mean")).select("userId", "page", F.lit(g).alias("grain"), "mean")
+        for g in grains
+    ]
+    means = reduce(DataFrame.unionByName, parts)
+    cells = {
+        f"avg_{g}_{page}": F.coalesce(F.max(F.when((F.col("grain") == g) & (F.col("page") == page), F.col("mean"))), F.lit(0.0))
+        for g in grains for page in feature_pages(pages)
+    }
+    return _grouped(means, ["userId"], cells)
 
 
 def _grouped(rows: DataFrame, keys: list[str], measures: dict[str, Column]) -> DataFrame:
@@ -129,8 +160,10 @@ def page_visits(
 
 
 def page_pivot(clean: DataFrame, period: str, pages: Sequence[str]) -> DataFrame:
-    """Visits per (user, period) and page; null where a page was not visited.
+    """Visits per (user, period) and page; null where a page was not visited. ``other`` counts the
+    visits to pages that are not listed, and those without a page.
 
     With the pages given, the pivot needs no job of its own to find them.
     """
-    return clean.groupBy("userId", period).pivot("page", list(pages)).count()
+    listed = F.when(F.col("page").isin(*pages), F.col("page")).otherwise("other")
+    return clean.withColumn("page", listed).groupBy("userId", period).pivot("page", [*pages, "other"]).count()

@@ -51,10 +51,13 @@ def label_share(counts: DataFrame, attribute: str) -> DataFrame:
 
 
 def crosstab(counts: DataFrame, index: str, columns: str, values: Sequence) -> DataFrame:
-    """Counts as a table: one row per ``index``, one column per value, plus ``missing`` for null."""
-    cells = [F.sum(F.when(F.col(columns) == v, F.col("n"))).alias(str(v)) for v in values]
-    missing = F.sum(F.when(F.col(columns).isNull(), F.col("n"))).alias("missing")
-    return counts.groupBy(index).agg(*cells, missing)
+    """Counts as a table: one row per ``index``, one column per value, plus ``other`` for values that
+    are not listed and ``missing`` for null."""
+    column, n = F.col(columns), F.col("n")
+    cells = [F.sum(F.when(column == v, n)).alias(str(v)) for v in values]
+    other = F.sum(F.when(~column.isin(*values), n)).alias("other")
+    missing = F.sum(F.when(column.isNull(), n)).alias("missing")
+    return counts.groupBy(index).agg(*cells, other, missing)
 
 
 def avg_registered_days(clean: DataFrame, cancel_pages: Sequence[str] = CANCEL_PAGES) -> DataFrame:

@@ -27,9 +27,8 @@ def histogram(values: DataFrame, by: str, value: str, bins: int = 10) -> DataFra
         )
     )
     position = F.floor((F.col("x") - F.col("start")) / (F.col("stop") - F.col("start")) * bins)
-    # Bounded: one row of ranges per feature name or label.
     counts = (
-        numbers.join(F.broadcast(ranges), by)
+        numbers.join(ranges, by)
         .select(by, F.least(position, F.lit(bins - 1)).cast("int").alias("bin"))
         .groupBy(by, "bin").agg(F.count("*").alias("n"))
     )

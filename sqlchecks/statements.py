@@ -7,7 +7,10 @@ round(x + 1e-9, 6) on both sides.
 
 from __future__ import annotations
 
-from ebbwatch.sources.star_tables import PAGES
+# What the CASE below can give, as cleaning leaves it (rows of Logout go).
+PAGES = [
+    "AddtoPlaylist", "Cancel", "Error", "Home", "NextSong", "SubmitDowngrade", "SubmitUpgrade", "ThumbsUp",
+]
 
 FEATURE_PAGES = [p for p in PAGES if p != "Cancel"]
 
@@ -108,7 +111,7 @@ tenure AS (
 levels AS (
   SELECT "userId", level AS valid_level FROM (
     SELECT "userId", level,
-           row_number() OVER (PARTITION BY "userId" ORDER BY ts DESC, "itemInSession" DESC, level DESC) AS rn
+           row_number() OVER (PARTITION BY "userId" ORDER BY ts DESC, "itemInSession" DESC NULLS LAST, level DESC NULLS LAST) AS rn
     FROM clean) WHERE rn = 1)"""
 )
 
@@ -245,12 +248,15 @@ HISTOGRAM_COLUMNS = ["last_interaction", "label", "registered_days", *MEANS]
 
 def _pivot(period: str, out: str) -> str:
     cells = ", ".join(f"nullif(count(*) FILTER (WHERE page = '{p}'), 0) AS {p}" for p in PAGES)
-    return f'SELECT "userId", {out}, {cells} FROM clean GROUP BY "userId", {period}'
+    listed = ", ".join(f"'{p}'" for p in PAGES)
+    other = f"nullif(count(*) FILTER (WHERE page IS NULL OR page NOT IN ({listed})), 0) AS other"
+    return f'SELECT "userId", {out}, {cells}, {other} FROM clean GROUP BY "userId", {period}'
 
 
 def _crosstab(source: str, index: str, column: str, values: list[tuple[str, str]]) -> str:
     cells = ", ".join(f'sum(n) FILTER (WHERE {column} = {lit})::BIGINT AS "{name}"' for lit, name in values)
-    return f"""SELECT {index}, {cells}, sum(n) FILTER (WHERE {column} IS NULL)::BIGINT AS missing
+    other = f"sum(n) FILTER (WHERE {column} NOT IN ({', '.join(lit for lit, _ in values)}))::BIGINT AS other"
+    return f"""SELECT {index}, {cells}, {other}, sum(n) FILTER (WHERE {column} IS NULL)::BIGINT AS missing
 FROM ({source}) GROUP BY {index}"""
 
 

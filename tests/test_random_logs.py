@@ -57,7 +57,7 @@ def expected(events):
             "userId": user,
             "last_interaction": last,
             "label": int(any(r["page"] == "Cancel" or r["auth"] == "Cancelled" for r in rows)),
-            "valid_level": max((r["ts"], r["itemInSession"] or 0, r["level"]) for r in rows)[2],
+            "valid_level": max((r["ts"], -1 if r["itemInSession"] is None else r["itemInSession"], r["level"]) for r in rows)[2],
         }
         for grain in ("daily", "monthly"):
             periods = defaultdict(list)
