@@ -44,8 +44,8 @@ class PrefixForest:
         bits = (points.astype(np.float32) @ self.planes > 0).reshape(len(points), self.trees, self.bits)
         return np.ascontiguousarray((bits @ (1 << np.arange(self.bits - 1, -1, -1, dtype=np.uint64))).T)
 
-    def candidates(self, queries: np.ndarray, wanted: int) -> list[np.ndarray]:
-        """For each query the rows that the synchronous ascent gathers."""
+    def candidates(self, queries: np.ndarray, wanted: int, least: int = 0) -> list[np.ndarray]:
+        """For each query the rows that the synchronous ascent gathers; all, if they are under ``least``."""
         norms = np.maximum(np.linalg.norm(queries, axis=1, keepdims=True), 1e-300)
         strings = self._strings(np.column_stack([queries / norms, np.zeros(len(queries))]))
         shape = (self.trees, len(queries))
@@ -67,7 +67,8 @@ class PrefixForest:
             marks[:] = False
             for order, lo, hi in zip(self.order, low[:, q], high[:, q]):
                 marks[order[lo:hi]] = True
-            found.append(np.flatnonzero(marks))
+            rows = np.flatnonzero(marks)
+            found.append(rows if len(rows) >= least else np.arange(len(marks)))
         return found
 
 
@@ -79,12 +80,13 @@ def search_block(
     # Bounds the forest's tables and strings for many queries at once.
     for at in range(0, len(queries), 512):
         part = queries[at : at + 512]
-        for query, point, rows in zip(query_ids[at : at + 512], part, forest.candidates(part, max(k + 1, int(share * len(ids))))):
+        near = forest.candidates(part, int(share * len(ids)), k + 1)  # the query itself may be among them
+        for query, point, rows in zip(query_ids[at : at + 512], part, near):
             rows = rows[ids[rows] != query]
             scores = (vectors[rows] * point).sum(axis=1)  # the same sum for equal rows, wherever they are
             if len(rows) > k:
-                near = scores >= np.partition(scores, -k)[-k]
-                rows, scores = rows[near], scores[near]
+                top = scores >= np.partition(scores, -k)[-k]
+                rows, scores = rows[top], scores[top]
             best = np.lexsort((ids[rows], -scores))[:k]
             out += zip([query] * len(best), ids[rows[best]], scores[best])
     return out

@@ -123,7 +123,7 @@ def _cuts(
                 for r in few.collect():
                     seen[r.cell].append((r.key, r.bytes))
             for c in fine:
-                cuts[c.first] = _nearest(sorted(seen[c.first]), below[c.first], goal[c.first], bounds[c.first])
+                cuts[c.first] = _nearest(sorted(seen[c.first]), below[c.first], goal.get(c.first, 0.0), bounds[c.first])
     return cuts
 
 
