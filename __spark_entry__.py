@@ -5,11 +5,12 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from functools import reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.ml.classification import DecisionTreeClassificationModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbwatch.ml import models, prepare, trees
@@ -54,6 +55,11 @@ def _published(df: DataFrame) -> DataFrame:
     return df.select(*shown)
 
 
+def _shown_deviation(c: Column) -> Column:
+    """Six decimals; two from a million on, where doubles do not hold more from engine to engine."""
+    return F.when(c < 1e6, F.round(c + 1e-9, 6)).otherwise(F.round(c, 2))
+
+
 def _raw(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return activity_log(prepare_session(spark), sf_dir, *columns)
 
@@ -124,10 +130,10 @@ def features_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Models
 
 
-def _model(name: str) -> Query:
+def _model(name: str, **params) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         data = _model_data(spark, sf_dir)
-        _, predictions = models.fit_predict(data.train, data.validation, name)
+        _, predictions = models.fit_predict(data.train, data.validation, name, **params)
         return models.evaluate(predictions)
 
     return run
@@ -196,6 +202,74 @@ def leaf_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trees.leaf_profile(tuned.tree, data.rows, nodes, data.names)
 
 
+# What must hold of any fit, stated without fitted numbers
+
+
+def leaf_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leaves of a tree part the model rows: their users, and those that churn."""
+    leaves = leaf_profile(spark, sf_dir)
+    churners = F.sum(F.round(F.coalesce("churn_rate", F.lit(0.0)) * F.col("n_users")).cast("long"))
+    return leaves.agg(F.sum("n_users").alias("n_users"), churners.alias("n_churners"))
+
+
+def tree_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A binary tree has one node more than edges, one leaf more than splits, and a rule for each leaf."""
+    data, _, nodes = _saved_tree(spark, sf_dir)
+    parts = [
+        trees.tree_nodes(nodes, data.names).select("kind"),
+        trees.tree_edges(nodes, data.names).select(F.lit("edge").alias("kind")),
+        trees.tree_rules(nodes, data.names).select("rule").distinct().select(F.lit("rule").alias("kind")),
+    ]
+    kinds = reduce(DataFrame.unionByName, parts).groupBy().pivot("kind", ["leaf", "split", "edge", "rule"]).count()
+    return kinds.selectExpr(
+        "leaf + split - edge AS n_roots", "leaf - split AS leaves_over_splits", "leaf - rule AS leaves_without_rule"
+    )
+
+
+def grid_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tune_tree_wide(spark, sf_dir).select("max_bins", "max_depth", "impurity")
+
+
+def best_setting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The winning setting has the highest mean score of the grid."""
+    tuned = _tuned(spark, sf_dir)[1]
+    best = {r.param: r.value for r in tuned.best_params(spark).collect()}
+    won = (F.col("max_bins") == int(best["maxBins"])) & (F.col("max_depth") == int(best["maxDepth"]))
+    scores = tuned.grid(spark).agg(F.max("avg_f1").alias("top"), F.max(F.when(won, F.col("avg_f1"))).alias("chosen"), F.count("*").alias("n"))
+    return scores.select(F.col("n").alias("n_settings"), (F.col("top") == F.col("chosen")).alias("is_best"))
+
+
+def importance_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importances of all inputs are shares."""
+    shares = _tuned(spark, sf_dir)[1].importances(spark)
+    return shares.agg(
+        F.count("*").alias("n_features"), F.round(F.sum("importance"), 6).alias("total"), (F.min("importance") >= 0).alias("none_negative")
+    )
+
+
+def compared_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each classifier scores each validation row once."""
+    data = _model_data(spark, sf_dir)
+    scored = [
+        models.prediction_rows(models.fit_predict(data.train, data.validation, name)[1]).select(F.lit(name).alias("model"), "label", "p_churn")
+        for name in models.CLASSIFIERS
+    ]
+    rows = reduce(DataFrame.unionByName, scored)
+    return rows.groupBy("model", "label").agg(F.count("*").alias("n"), F.count_if(F.col("p_churn").between(0, 1)).alias("n_probable"))
+
+
+def score_identities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accuracy of a tree's predictions against its own confusion counts."""
+    data = _model_data(spark, sf_dir)
+    scores = write_table(models.prediction_rows(models.fit_predict(data.train, data.validation, "decision_tree")[1]), "predicted")
+    hits = F.when(F.col("label") == F.col("prediction"), F.col("n"))
+    counts = scoring.confusion_matrix(scores).select("n", hits.alias("hits"), F.lit(None).cast("double").alias("accuracy"))
+    told = scoring.classification_metrics(scores).where("metric = 'accuracy'")
+    both = counts.unionByName(told.select(F.lit(None).cast("long").alias("n"), F.lit(None).cast("long").alias("hits"), F.col("value").alias("accuracy")))
+    agrees = F.abs(F.sum("hits") / F.sum("n") - F.max("accuracy")) < 1e-9
+    return both.agg(F.sum("n").alias("n"), agrees.alias("accuracy_agrees"))
+
+
 def _rule_scores(rows: DataFrame) -> DataFrame:
     """A fixed rule in place of a model, so that its scores can be checked in SQL."""
     guess = (F.col("avg_monthly_Error") >= 1.5) & (F.col("registered_days") < 200)
@@ -284,7 +358,7 @@ def _log_queries() -> dict[str, Query]:
         "null_counts": on_raw(profiling.null_counts),
         "feature_null_counts": on_features(lambda features: profiling.null_counts(features.drop("userId"))),
         "describe": lambda spark, sf_dir: _published(
-            profiling.describe(_raw(spark, sf_dir)).withColumn("stddev", F.round("stddev", 2))
+            profiling.describe(_raw(spark, sf_dir)).withColumn("stddev", _shown_deviation(F.col("stddev")))
         ),
         "pages_without_null_artist": on_raw(profiling.pages_without_null_artist, "page", "artist"),
         "count_gender_level_auth": on_raw(
@@ -296,6 +370,10 @@ def _log_queries() -> dict[str, Query]:
         "events_by_gender_level": on_clean(
             lambda log: breakdown.fewest_first(breakdown.event_counts(log, "gender", "level")), "gender", "level"
         ),
+        "users_by_gender_level": on_clean(
+            lambda log: breakdown.event_counts(log.select("userId", "gender", "level").distinct(), "gender", "level"),
+            "gender", "level",
+        ),
         "sessions_per_user": on_clean(breakdown.sessions_per_user, "page", "sessionId"),
         "avg_item_in_session": on_clean(breakdown.avg_item_in_session, "page", "itemInSession"),
         "events_by_level_label": on_clean(
@@ -342,10 +420,12 @@ def _log_queries() -> dict[str, Query]:
         "data_split": on_split(lambda rows: rows.select("userId", "split")),
         "stratified_sample": on_train(lambda rows: sampling.stratified_sample(rows).select("userId", "label")),
         "class_balance": on_train(sampling.class_balance),
+        "class_balance_stratified": on_train(lambda rows: sampling.class_balance(sampling.stratified_sample(rows))),
         "confusion_matrix": on_split(lambda rows: scoring.confusion_matrix(_rule_scores(rows))),
         "classification_metrics": on_split(lambda rows: scoring.classification_metrics(_rule_scores(rows))),
         "model_tree": _model("decision_tree"),
         "model_logistic": _model("logistic_regression"),
+        "model_logistic_default": _model("logistic_regression", maxIter=100),
         "model_forest": _model("random_forest"),
         "model_gbt": _model("gradient_boosting"),
         "predictions": predictions,
@@ -362,6 +442,13 @@ def _log_queries() -> dict[str, Query]:
         "tree_edges": tree_edges,
         "tree_rules": tree_rules,
         "leaf_profile": leaf_profile,
+        "leaf_totals": leaf_totals,
+        "tree_shape": tree_shape,
+        "grid_settings": grid_settings,
+        "best_setting": best_setting,
+        "importance_total": importance_total,
+        "compared_labels": compared_labels,
+        "score_identities": score_identities,
     }
 
 

@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 
 from ebbwatch.operators.sampling import SEED
 from ebbwatch.operators.scoring import CLASS_NAMES, classification_metrics
+from ebbwatch.session import write_table
 
+# The names of the classifiers, and the settings they are compared with.
 CLASSIFIERS: dict[str, Callable[[], Estimator]] = {
     "decision_tree": lambda: DecisionTreeClassifier(seed=SEED),
     "logistic_regression": lambda: LogisticRegression(maxIter=10000),
@@ -51,9 +53,11 @@ def prediction_rows(predictions: DataFrame) -> DataFrame:
 
 def evaluate(predictions: DataFrame, class_names: Sequence[str] = CLASS_NAMES) -> DataFrame:
     """(metric, value): the scores of the hard prediction, and auc from the raw scores."""
-    hard = classification_metrics(predictions, class_names)
     if "rawPrediction" not in predictions.columns:
-        return hard
+        return classification_metrics(predictions, class_names)
+    # The model scores each row once; all metrics read the written scores.
+    predictions = write_table(predictions.select("label", "prediction", "rawPrediction"), "scores")
+    hard = classification_metrics(predictions, class_names)
     # numBins=0 keeps every distinct score; MLlib sorts them over the cluster.
     auc = BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0).evaluate(predictions)
     return hard.unionByName(

@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 from ebbwatch.operators.scoring import CLASS_NAMES
 
 
+_ROW_LIMIT = "spark.sql.cteRecursionRowLimit"
+_LEAF_SLICE = 100_000  # node ids that one window task numbers
+
+
 def save_model(model, path: str) -> None:
     model.write().overwrite().save(path)
 
@@ -70,7 +74,13 @@ def tree_edges(nodes: DataFrame, names: Sequence[str]) -> DataFrame:
 def tree_rules(
     nodes: DataFrame, names: Sequence[str], class_names: Sequence[str] = CLASS_NAMES
 ) -> DataFrame:
-    """(leaf, depth, rule, prediction, class_name): the path from the root to each leaf."""
+    """(leaf, depth, rule, prediction, class_name): the path from the root to each leaf.
+
+    The recursion visits every node once; the engine's limit of rows is raised to that where it is lower.
+    """
+    limit, n = int(nodes.sparkSession.conf.get(_ROW_LIMIT)), nodes.count()
+    if 0 <= limit <= n:
+        nodes.sparkSession.conf.set(_ROW_LIMIT, str(n + 1))
     return nodes.sparkSession.sql(
         """
         WITH RECURSIVE paths(id, depth, rule) AS (
@@ -94,10 +104,13 @@ def leaf_profile(
     """(leaf, rule, prediction, n_users, churn_rate): who ends up in each leaf of the tree."""
     scored = tree.copy().setLeafCol("leaf_number").transform(rows)
     population = scored.groupBy("leaf_number").agg(F.count("*").alias("n_users"), F.avg("label").alias("churn_rate"))
-    # Leaves are numbered in the order of their ids. The window holds the leaves of one tree.
-    rules = tree_rules(nodes, names, class_names).withColumn(
-        "leaf_number", (F.row_number().over(Window.orderBy("leaf")) - 1).cast("double")
-    )
+    # Leaves are numbered in the order of their ids: within slices of the ids, after the leaves of earlier slices.
+    rules = tree_rules(nodes, names, class_names).withColumn("slice", F.floor(F.col("leaf") / _LEAF_SLICE))
+    earlier = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = rules.groupBy("slice").agg(F.count("*").alias("n"))
+    firsts = firsts.select("slice", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("first"))
+    number = F.col("first") + F.row_number().over(Window.partitionBy("slice").orderBy("leaf")) - 1
+    rules = rules.join(firsts, "slice").withColumn("leaf_number", number.cast("double"))
     return rules.join(population, "leaf_number", "left").select(
         "leaf", "rule", "prediction", F.coalesce("n_users", F.lit(0)).alias("n_users"), "churn_rate"
     )

@@ -32,7 +32,10 @@ def train(
     max_bins: Sequence[int] = (10, 40),
     max_depth: Sequence[int] = (5, 15),
 ) -> dict[str, DataFrame]:
-    """Run the job and return the result tables, all of which are also written."""
+    """Run the job and return the result tables, all of which are also written.
+
+    What an earlier run left in the output folder is replaced.
+    """
     prepare_session(spark)
     clean = clean_activity(logs.read_json_log(spark, log_path))
     logs.land_clean_log(clean, f"{output_path}/clean_log")
@@ -47,7 +50,7 @@ def train(
     results = {"comparison": comparison, **_reports(spark, data, tuned, f"{output_path}/tree")}
     written = {}
     for name, table in results.items():
-        table.write.parquet(f"{output_path}/{name}")
+        table.write.mode("overwrite").parquet(f"{output_path}/{name}")
         written[name] = spark.read.parquet(f"{output_path}/{name}")
     return written
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def prepare_session(spark: SparkSession) -> SparkSession:
-    """Settings that the results (time zone) and the speed (code size) depend on.
+    """Settings that the results (time zone) and the speed (code size) depend on; they stay set in the session.
 
     Dates and months follow the session time zone; every engine must agree on it.
 
@@ -31,7 +32,8 @@ def scratch_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
+        # The executors of local-cluster are processes with folders of their own.
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="ebbwatch-", dir="/tmp"))
         folder = context.getCheckpointDir()
@@ -46,6 +48,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete the application's intermediate tables. Frames that were read from them are gone with them."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{scratch_dir(spark)}/{spark.sparkContext.applicationId}")
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_table(df: DataFrame, name: str) -> DataFrame:
     """Compute ``df`` once, keep it as a parquet table in the shared folder and read that.
 

@@ -36,7 +36,7 @@ def read_json_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_json_log(log: DataFrame, path: str) -> None:
-    log.write.json(path)
+    log.write.mode("overwrite").json(path)
 
 
 def land_clean_log(clean: DataFrame, path: str, files_hold_few_days: bool = False) -> None:
@@ -48,7 +48,7 @@ def land_clean_log(clean: DataFrame, path: str, files_hold_few_days: bool = Fals
     Where the log's files hold a day or a few each, the shuffle is not needed.
     """
     rows = clean if files_hold_few_days else clean.hint("rebalance", "date")
-    rows.write.partitionBy("date").parquet(path)
+    rows.write.mode("overwrite").partitionBy("date").parquet(path)
 
 
 def read_clean_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -57,7 +57,7 @@ def read_clean_log(spark: SparkSession, path: str, schema: T.StructType) -> Data
 
 
 def write_features_csv(features: DataFrame, path: str) -> None:
-    features.write.csv(path, header=True)
+    features.write.mode("overwrite").csv(path, header=True)
 
 
 def read_features_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

