@@ -6,8 +6,8 @@ import pytest
 from tests.log_fixture import log, ms
 from pyspark.sql import functions as F
 
-from ebbwatch.functions.columns import stripped
-from ebbwatch.operators import breakdown, histogram, profiling, sampling, scoring
+from ebbwatch.functions.columns import recency, stripped
+from ebbwatch.operators import account, behaviour, breakdown, histogram, profiling, sampling, scoring
 
 
 def test_stripped_equals_the_plain_pattern(spark):
@@ -97,3 +97,58 @@ def test_time_range(spark):
     events = [dict(ts=ms("2020-01-31 23:59:59") + 999), dict(ts=ms("2020-01-02 00:00:00"))]
     row = profiling.time_range(log(spark, events)).head()
     assert (str(row.first_date), str(row.last_date)) == ("2020-01-02", "2020-01-31")
+
+
+def test_unlisted_values_are_counted(spark):
+    counts = spark.createDataFrame([("a", "F", 2), ("a", "X", 5), ("a", None, 3)], "i string, c string, n long")
+    assert breakdown.crosstab(counts, "i", "c", ["F", "M"]).collect() == [("a", 2, None, 5, 3)]
+    log = spark.createDataFrame([(1, 1, "Home"), (1, 1, "New"), (1, 1, None)], "userId long, month int, page string")
+    assert behaviour.page_pivot(log, "month", ["Home"]).collect() == [(1, 1, 1, 2)]
+
+
+def test_unlisted_page_is_an_error(spark):
+    log = spark.createDataFrame([(1, "2024-01-01", "Home"), (1, "2024-01-01", "New")], "userId long, date string, page string")
+    log = log.withColumn("date", F.col("date").cast("date"))
+    assert behaviour.page_visits(log, ["Home", "New"]).collect() == [(1, 1.0, 1.0, 1.0, 1.0)]
+    with pytest.raises(Exception, match="page without a column: New"):
+        behaviour.page_visits(log, ["Home"]).collect()
+
+
+def test_latest_level_is_exact(spark):
+    far = 1 << 43
+    events = [
+        (1, 10, (1 << 20) + 9, "free"), (1, 10, (1 << 20) + 5, "paid"),
+        (2, far, 0, "free"), (2, far - 1, 0, "paid"),
+        (3, 5, 0, "free"), (3, 5, None, "paid"),
+        (4, 5, -1, "free"), (4, 5, -(1 << 63), "paid"), (4, -5, (1 << 63) - 1, "gone"),
+        (5, 7, None, "a"), (5, 7, None, "b"), (5, 7, None, None),
+    ]
+    log = spark.createDataFrame(events, "userId long, ts long, itemInSession long, level string")
+    levels = account.valid_level(log)
+    assert dict(tuple(r) for r in levels.collect()) == {1: "free", 2: "free", 3: "free", 4: "free", 5: "b"}
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+        account.valid_level(log.withColumn("ts", F.lit((1 << 63) - 1))).collect()
+
+
+def test_latest_level_is_hash_aggregated(spark):
+    log = spark.createDataFrame([(1, 1, 1, "a")], "userId long, ts long, itemInSession long, level string")
+    step = log.groupBy("userId", "level").agg(F.max(recency(F.col("ts"), F.col("itemInSession"))))
+    assert "SortAggregate" not in step._jdf.queryExecution().executedPlan().toString()
+
+
+def test_fewest_come_first(spark):
+    counts = spark.createDataFrame([("b", 2), ("c", 1), ("a", 2)], "c string, n long")
+    assert [tuple(r) for r in breakdown.fewest_first(counts).collect()] == [("c", 1), ("a", 2), ("b", 2)]
+
+
+def test_many_pages_keep_codegen_and_narrow_rows(spark):
+    pages = [f"p{i}" for i in range(400)]
+    log = spark.range(4000).selectExpr(
+        "id % 10 AS userId", "date_add(date'2024-01-01', cast(id % 50 AS int)) AS date", "concat('p', id % 400) AS page"
+    )
+    counts = behaviour.page_counts(log, pages)
+    assert len(counts.columns) == 4
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    visits = behaviour.page_visits(log, pages)
+    assert len(visits.columns) == 801 and visits.count() == 10

@@ -1,8 +1,9 @@
+import os
 from types import SimpleNamespace
 
 import pytest
 
-from ebbwatch.session import scratch_dir, scratch_path, write_table
+from ebbwatch.session import remove_scratch, scratch_dir, scratch_path, write_table
 
 
 def _session(setting, master, checkpoint=None):
@@ -21,6 +22,8 @@ def test_setting_of_the_cluster_is_used():
 def test_cluster_without_setting_is_refused():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_dir(_session(None, "yarn"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(_session(None, "local-cluster[2,1,1024]"))
 
 
 def test_local_session_gets_a_folder_of_its_own():
@@ -33,3 +36,11 @@ def test_written_table_keeps_rows_and_schema(spark):
     assert table.dtypes == frame.dtypes
     assert table.exceptAll(frame).isEmpty() and table.count() == 100
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_scratch_goes_on_request(spark):
+    write_table(spark.range(3), "gone")
+    folder = f"{scratch_dir(spark)}/{spark.sparkContext.applicationId}".removeprefix("file:")
+    assert os.path.isdir(folder)
+    remove_scratch(spark)
+    assert not os.path.exists(folder)

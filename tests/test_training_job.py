@@ -15,6 +15,10 @@ def test_job_from_json_to_rules(spark, tmp_path):
     features = spark.read.csv(f"{tmp_path}/out/features_csv", header=True)
     assert features.count() == 150 and "avg_daily_ThumbsUp" in features.columns
     assert (tmp_path / "out" / "clean_log" / "date=2024-01-02").is_dir()
+    # A second run into the same folder replaces the tables and gives the same.
+    first = {name: sorted(map(str, table.collect())) for name, table in results.items()}
+    again = train(spark, f"{tmp_path}/log", f"{tmp_path}/out", max_depth=[5])
+    assert {name: sorted(map(str, table.collect())) for name, table in again.items()} == first
 
 
 def test_job_explains_its_arguments(capsys):
