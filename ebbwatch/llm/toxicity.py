@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ebbwatch.llm.attentive_gru import Adam, Layer, Params, going, new_layer, pooled, scan, sigmoid
 from ebbwatch.llm.common import Batches, fold, joined_bytes, map_batches, named, read_table, text_blocks
-from ebbwatch.llm.shingles import _powers, mixed
+from ebbwatch.llm.shingles import mixed
 
 WINDOW, STRIDE = 16, 8
 PIECE = 24  # bytes of a word that the character layer reads at once; longer words are several
@@ -54,14 +54,21 @@ class Words:
             number = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
             self.starts = np.repeat(starts, parts) + PIECE * number
             self.ends = np.minimum(self.starts + PIECE, np.repeat(ends, parts))
-            size = 1 << max(12, (len(data) - 1).bit_length())
-            sums = np.zeros(len(data) + 1, np.uint64)
-            np.cumsum(_CODE[data] * _powers(_BASE, size)[: len(data)], out=sums[1:])
-            inverse = _powers(pow(_BASE, -1, 1 << 64), size)
-            self.hashes = mixed((sums[self.ends] - sums[self.starts]) * inverse[self.starts] + (self.ends - self.starts).astype(np.uint64))
+            self.hashes = self._hashes(data)
         self.data = data
         self.bounds = np.searchsorted(self.starts, offsets)  # words of text i: bounds[i] .. bounds[i + 1]
 
+    def _hashes(self, data: np.ndarray) -> np.ndarray:
+        """Byte by byte for all words at once, the longest first, so that a step works on those that go on."""
+        lengths = self.ends - self.starts
+        order = np.argsort(-lengths, kind="stable")
+        starts, hashes = self.starts[order], lengths[order].astype(np.uint64)
+        for k, n in enumerate(going(lengths[order], PIECE)):
+            hashes[:n] = hashes[:n] * np.uint64(_BASE) + _CODE[data[starts[:n] + k]]
+        out = np.empty_like(hashes)
+        out[order] = mixed(hashes)
+        return out
+
     def characters(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bytes (steps, size) and lengths of the words at these places."""
         lengths = self.ends[at] - self.starts[at]
