@@ -20,8 +20,8 @@ from ebbwatch.llm.common import named, read_table
 TREES = 32
 BITS = 32
 SHARE = 0.7  # entries that the ascent must gather over all trees, as a share of the block's vectors
-BLOCK_ROWS = 2_048
-QUERY_ROWS = 4_096
+BLOCK_ROWS = 8_192
+QUERY_ROWS = 1_024
 SEED = 11
 
 
