@@ -20,9 +20,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbwatch.llm.bloom import bloom_filter, may_hold
@@ -36,6 +37,7 @@ ANCHOR = 32
 PIECE = 16
 BUCKET = 256  # pieces that one task sorts at once, 30 KB
 STRETCH = 1 << 20
+COPIES = 1_000_000  # ids of whole copies that are sent to every task, 8 MB; with more of them, none is
 APART = 0xFF  # a byte that UTF-8 never has
 
 _HIGH = np.uint64(0xFFFFFFFF00000000)
@@ -77,18 +79,31 @@ def _signed(value: np.ndarray) -> np.ndarray:
     return value.view(np.int64)
 
 
-def _documents(batches: Batches) -> Iterator[tuple[pa.Scalar, bytes]]:
-    """(id, bytes), without repeats of a text under a larger id: those go as a whole."""
-    seen: dict[bytes, object] = {}
-    for b in (part for whole in batches for part in text_blocks(whole, "text")):
-        for doc, text in zip(b.column("id").to_pylist(), b.column("text").cast(pa.large_binary()).to_pylist()):
-            if doc is None or not text:
-                continue
-            key = hashlib.blake2b(text, digest_size=12).digest()
-            if seen.get(key, doc) < doc:
-                continue
-            seen[key] = doc
-            yield doc, text
+class _Documents:
+    """Reads (id, bytes) from batches, without texts that a smaller id has as well: those go as a whole.
+
+    The ids of such copies are at hand if they are few enough to send. If not, a task leaves out those that it
+    can tell by itself, and the others resolve like all repeats.
+    """
+
+    def __init__(self, copies: Broadcast):
+        self.copies = copies
+
+    def __call__(self, batches: Batches) -> Iterator[tuple[int, bytes]]:
+        seen: dict[bytes, int] = {}
+        copies = self.copies.value
+        for b in (part for whole in batches for part in text_blocks(whole, "text")):
+            ids = pc.fill_null(b.column("id"), 0).to_numpy()
+            left_out = np.isin(ids, copies) if copies is not None and len(copies) else np.zeros(len(ids), bool)
+            for doc, text, out in zip(b.column("id").to_pylist(), b.column("text").cast(pa.large_binary()).to_pylist(), left_out):
+                if doc is None or not text or out:
+                    continue
+                if copies is None:
+                    key = hashlib.blake2b(text, digest_size=12).digest()
+                    if seen.get(key, doc) < doc:
+                        continue
+                    seen[key] = doc
+                yield doc, text
 
 
 def _batches(rows: Iterator[tuple], schema: pa.Schema, most: int = 50_000) -> Batches:
@@ -109,12 +124,12 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 # The steps over the texts
 
 
-def _anchors(docs: DataFrame, span: int) -> DataFrame:
+def _anchors(docs: DataFrame, read: _Documents, span: int) -> DataFrame:
     """The hash of every run's anchor."""
 
     def work(batches: Batches) -> Batches:
         held: list[np.ndarray] = []
-        for _, text in _documents(batches):
+        for _, text in read(batches):
             held.append(runs(text, span)[0])
             if sum(map(len, held[-64:])) + len(held) > STRETCH // 16:
                 yield pa.RecordBatch.from_arrays([pa.array(_signed(np.concatenate(held)))], ["anchor"])
@@ -124,12 +139,12 @@ def _anchors(docs: DataFrame, span: int) -> DataFrame:
     return map_batches(docs, work, "anchor long")
 
 
-def _runs(docs: DataFrame, anchors: Broadcast, span: int) -> DataFrame:
+def _runs(docs: DataFrame, read: _Documents, anchors: Broadcast, span: int) -> DataFrame:
     """The runs whose anchor may occur more than once: (anchor, run, doc, first, n)."""
     schema = pa.schema([("anchor", pa.int64()), ("run", pa.int64()), ("doc", pa.int64()), ("first", pa.int32()), ("n", pa.int32())])
 
     def rows(batches: Batches) -> Iterator[tuple]:
-        for doc, text in _documents(batches):
+        for doc, text in read(batches):
             anchor, _, first, last = runs(text, span)
             keep = may_hold(anchors.value, _signed(anchor))
             for a, i, j in zip(_signed(anchor[keep]).tolist(), first[keep].tolist(), last[keep].tolist()):
@@ -138,13 +153,13 @@ def _runs(docs: DataFrame, anchors: Broadcast, span: int) -> DataFrame:
     return map_batches(docs, lambda b: _batches(rows(b), schema), "anchor long, run long, doc long, first int, n int")
 
 
-def _run_bytes(docs: DataFrame, wanted: Broadcast, span: int) -> DataFrame:
+def _run_bytes(docs: DataFrame, read: _Documents, wanted: Broadcast, span: int) -> DataFrame:
     """The bytes of the wanted runs, and the place of the anchor in them: (run, place, bytes)."""
     schema = pa.schema([("run", pa.int64()), ("place", pa.int32()), ("bytes", pa.binary())])
 
     def rows(batches: Batches) -> Iterator[tuple]:
         seen: set[int] = set()
-        for _, text in _documents(batches):
+        for _, text in read(batches):
             _, place, first, last = runs(text, span)
             parts = [text[i : j + span - 1] for i, j in zip(first.tolist(), last.tolist())]
             hashes = [_hash(p, j - i) for p, i, j in zip(parts, first.tolist(), last.tolist())]
@@ -253,43 +268,60 @@ def _single_strings(pieces: DataFrame, span: int) -> DataFrame:
         pieces.select("core", "doc", "first", "n", "bytes"), lambda b: _batches(rows(b), schema), "core long, string long, doc long, first int"
     )
     strings = write_table(strings, "strings")
-    least = strings.groupBy("core", "string").agg(F.min(F.struct("doc", "first")).alias("least"), F.count("*").alias("copies"))
-    later = strings.join(least.where("copies > 1"), ["core", "string"]).where("doc != least.doc or first != least.first")
+    least = strings.groupBy("core", "string").agg(F.min(_place()).alias("least"), F.count("*").alias("copies"))
+    later = strings.join(least.where("copies > 1"), ["core", "string"]).where(_place() != F.col("least"))
     return later.select("doc", "first", (F.col("first") + 1).alias("last"))
 
 
-def _split(rows: DataFrame, bucket: str, kind: str, *carried: str) -> tuple[DataFrame, DataFrame]:
-    """The rows whose bytes occur earlier, and of the others those that share a bucket with other bytes, with ``parts``."""
-    place = F.struct("doc", "first", "n", *carried)
-    kinds = rows.groupBy(bucket, kind).agg(F.min(place).alias("least"), F.count("*").alias("copies"))
+# A document and a start in it as one number in the same order; its fixed width lets Spark aggregate by hashing.
+
+
+def _place() -> Column:
+    return (F.col("doc").cast("decimal(20,0)") + F.lit(str(1 << 63)).cast("decimal(20,0)")) * F.lit(1 << 32).cast("decimal(11,0)") + F.col("first")
+
+
+def _placed(place: str) -> list[Column]:
+    size = F.lit(1 << 32).cast("decimal(11,0)")
+    first = F.col(place) % size
+    doc = ((F.col(place) - first) / size).cast("decimal(21,0)") - F.lit(str(1 << 63)).cast("decimal(20,0)")
+    return [doc.cast("long").alias("doc"), first.cast("int").alias("first")]
+
+
+def _split(rows: DataFrame, bucket: str, kind: str) -> tuple[DataFrame, DataFrame]:
+    """The rows whose bytes occur earlier, and of the others those that share a bucket with other bytes, with ``parts``.
+
+    Rows of one kind have the same bytes, and so the same number of strings.
+    """
+    kinds = rows.groupBy(bucket, kind).agg(F.min(_place()).alias("least"), F.max("n").alias("n"), F.count("*").alias("copies"))
     kinds = write_table(kinds, "kinds")
-    later = rows.join(kinds.where("copies > 1").select(bucket, kind, "least"), [bucket, kind])
-    later = later.where("doc != least.doc or first != least.first")
+    later = rows.join(kinds.where("copies > 1").select(bucket, kind, "least"), [bucket, kind]).where(_place() != F.col("least"))
     parts = kinds.groupBy(bucket).agg(F.count("*").alias("parts")).where("parts > 1")
-    others = kinds.join(parts, bucket).select(bucket, kind, "least.*", "parts")
+    others = kinds.join(parts, bucket).select(bucket, kind, *_placed("least"), "n", "parts")
     return later.select("doc", "first", (F.col("first") + F.col("n")).cast("int").alias("last")), others
 
 
-def repeated_starts(rows: DataFrame, span: int = SPAN, bucket: int = BUCKET) -> DataFrame:
+def repeated_starts(rows: DataFrame, copies: DataFrame, span: int = SPAN, bucket: int = BUCKET) -> DataFrame:
     """(doc, first, last): ranges of the starts of strings that also start earlier; ``rows`` has id and text.
 
-    Copies of a text under larger ids are left out, as they go as a whole.
+    ``copies`` has the ids of texts that go as a whole; they need not be found here.
     """
     spark = rows.sparkSession
-    often = write_table(_anchors(rows, span).groupBy("anchor").count().where("count > 1").select("anchor"), "anchors")
+    few = copies.limit(COPIES + 1).toPandas()["doc"].to_numpy(np.int64)
+    read = _Documents(spark.sparkContext.broadcast(np.sort(few) if len(few) <= COPIES else None))
+    often = write_table(_anchors(rows, read, span).groupBy("anchor").count().where("count > 1").select("anchor"), "anchors")
     anchors = spark.sparkContext.broadcast(bloom_filter(often, often.count()))
-    found = write_table(_runs(rows, anchors, span), "runs")
+    found = write_table(_runs(rows, read, anchors, span), "runs")
     later, others = _split(found, "anchor", "run")
     others = write_table(others, "other-runs")
     wanted = spark.sparkContext.broadcast(bloom_filter(others.select("run"), others.count()))
-    content = _run_bytes(rows, wanted, span).dropDuplicates(["run"])
+    content = _run_bytes(rows, read, wanted, span).dropDuplicates(["run"])
     pieces = write_table(_pieces(others.join(content, "run"), span), "pieces")
     later_pieces, apart = _split(pieces.drop("bytes"), "core", "piece")
     apart = apart.join(pieces.select("core", "piece", "doc", "first", "bytes"), ["core", "piece", "doc", "first"])
     apart = write_table(apart.dropDuplicates(["core", "piece"]), "apart")
-    few = _sorted_buckets(apart.where(F.col("parts") <= bucket), span)
+    sorted_ = _sorted_buckets(apart.where(F.col("parts") <= bucket), span)
     many = _single_strings(apart.where(F.col("parts") > bucket), span)
-    return later.union(later_pieces).union(few).union(many)
+    return later.union(later_pieces).union(sorted_).union(many)
 
 
 def _copies(rows: DataFrame) -> DataFrame:
@@ -321,10 +353,9 @@ def without_repeats(
     """
     rows = named(docs, id_col, text_col).toDF("id", "text").withColumn("text", F.coalesce("text", F.lit("")))
     keyed = rows.withColumn("id", F.col("id").cast("long"))
-    whole = _copies(keyed.where(F.octet_length("text") >= span)).select(
-        "doc", F.lit(0).alias("first"), F.lit(np.iinfo(np.int32).max // 2).alias("last")
-    )
-    starts = repeated_starts(keyed, span, bucket).union(whole)
+    copies = write_table(_copies(keyed.where(F.octet_length("text") >= span)), "copies")
+    whole = copies.select("doc", F.lit(0).alias("first"), F.lit(np.iinfo(np.int32).max // 2).alias("last"))
+    starts = repeated_starts(keyed, copies, span, bucket).union(whole)
     ranges = starts.groupBy("doc").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))  # bounded by the text
     joined = rows.join(ranges, rows["id"].cast("long") == F.col("doc"), "left").select("id", "text", "ranges")
     kind = rows.schema["id"].dataType.simpleString()

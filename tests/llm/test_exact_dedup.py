@@ -3,6 +3,7 @@ import random
 
 import pytest
 
+from ebbwatch.llm import exact_dedup
 from ebbwatch.llm.exact_dedup import removed_spans, without_repeats
 from ebbwatch.llm.suffix_groups import lyndon_groups, suffix_order
 from tests.llm.texts import documents, frame, mixed_texts
@@ -38,8 +39,9 @@ def passages(seed: int) -> list:
     return ["".join(part() for _ in range(rng.randint(0, 5))) for _ in range(120)]
 
 
-@pytest.mark.parametrize("bucket", [256, 2])
-def test_against_brute_force(spark, bucket):
+@pytest.mark.parametrize("bucket, copies", [(256, 10**6), (2, 0)])
+def test_against_brute_force(spark, monkeypatch, bucket, copies):
+    monkeypatch.setattr(exact_dedup, "COPIES", copies)  # 0: the ids of whole copies are not sent
     texts = passages(3) + mixed_texts()
     assert found(documents(spark, texts), bucket=bucket) == brute(dict(enumerate(texts)))
 
