@@ -46,7 +46,7 @@ def joined_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - first
 
 
-def text_blocks(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def text_blocks(batch: pa.RecordBatch, column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about ``most`` bytes of text each; a longer text has a slice of its own."""
     sizes = np.diff(joined_bytes(batch.column(column))[1])
     start, total = 0, 0

@@ -26,7 +26,7 @@ SAMPLE_DOCS = 3_000  # bound of the labelled documents learnt from, up to half o
 SAMPLE_BYTES = 8 << 20  # bound of their text; whole documents, in the order of a hash
 ROUNDS = 14  # at least; small samples are gone through more often
 STEPS = 400  # batches of 256 windows, at least
-BLOCK = 8 << 20
+BLOCK = 4 << 20
 
 _BASE = 0x5851F42D4C957F2D
 _WORD = np.zeros(256, bool)
