@@ -10,7 +10,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbwatch.llm.attentive_gru import Adam, Layer, Params, going, new_layer, pooled, scan, sigmoid
@@ -23,7 +23,9 @@ HIDDEN, CHARS, EMBEDDED = 8, 8, 8
 VOCABULARY = 4_096  # most frequent words of the sample that have a vector of their own
 LEAST_COUNT = 5
 SAMPLE_DOCS = 3_000  # bound of the labelled documents learnt from, up to half of them toxic
-SAMPLE_BYTES = 8 << 20  # bound of their text; whole documents, in the order of a hash
+SAMPLE_BYTES = 8 << 20  # bound of their text, up to half of it toxic
+LONG = 32  # a text over this part of a half is learnt from by pieces
+PIECES = 16  # of a long text, spread evenly over it
 ROUNDS = 14  # at least; small samples are gone through more often
 STEPS = 400  # batches of 256 windows, at least
 BLOCK = 4 << 20
@@ -220,7 +222,11 @@ def learning_rows(
     docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str,
     most: int = SAMPLE_DOCS, most_bytes: int = SAMPLE_BYTES,
 ) -> tuple[list[str], list[int]]:
-    """About ``most`` labelled whole documents, chosen by a hash of the id, toxic and others in equal number if there are."""
+    """About ``most`` labelled documents, chosen by a hash of the id, toxic and others in equal number if there are.
+
+    Each kind is taken in the order of the hash as far as its bytes go: half of ``most_bytes`` for toxic ones, all that these leave
+    for the others. A text that does not fit is passed over, and one over a small part of the half is represented by pieces of it.
+    """
     label = named(labels, id_col, label_col).toDF("id", "label").where("id is not null and label in (0, 1)")
     label = label.groupBy("id").agg(F.max("label").alias("label"))
     sizes = {r["label"]: r["n"] for r in label.groupBy("label").agg(F.count("*").alias("n")).collect()}
@@ -230,23 +236,35 @@ def learning_rows(
     share = F.when(F.col("label") == 1, F.lit(wanted[1] / max(1, sizes.get(1, 0)))).otherwise(F.lit(wanted[0] / max(1, sizes.get(0, 0))))
     chosen = label.withColumn("chance", chance).where(F.col("chance") < share)
     rows = named(docs, id_col, text_col).toDF("id", "text").join(F.broadcast(chosen), "id")  # about ``most`` rows
-    texts, toxic_of, total = [], [], 0
-    for text, value in rows.orderBy("chance", "id").select("text", "label").toLocalIterator():
-        total += len(text or "")
-        if total > most_bytes:
-            break
+    rows = rows.withColumn("text", _excerpt("text", max(1, most_bytes // 2 // LONG)))
+    texts, toxic_of, room = [], [], {1: most_bytes // 2, 0: most_bytes}
+    for text, value in rows.orderBy(F.desc("label"), "chance", "id").select("text", "label").toLocalIterator():
+        size = len((text or "").encode())
+        if size > room[value]:
+            continue
+        for kind in {value, 0}:  # what toxic texts take is not left for the others
+            room[kind] -= size
         texts.append(text or "")
         toxic_of.append(value)
     return texts, toxic_of
 
 
+def _excerpt(text: str, most: int) -> Column:
+    """The text, or of one with more bytes than ``most`` pieces with about as many, without the words cut at their ends."""
+    length, size = F.char_length(text), F.octet_length(text)
+    each = F.greatest(F.lit(1), F.floor(length / size * most / PIECES).cast("int"))
+    piece = lambda i: F.substring(F.col(text), (length * i / PIECES).cast("int") + 1, each)
+    pieces = F.transform(F.sequence(F.lit(0), F.lit(PIECES - 1)), lambda i: F.regexp_replace(piece(i), r"^\S+\s|\s\S+$", ""))
+    return F.when(size > most, F.concat_ws(" ", pieces)).otherwise(F.col(text))
+
+
 def toxicity(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
     sample_docs: int = SAMPLE_DOCS, sample_bytes: int = SAMPLE_BYTES,
 ) -> DataFrame:
     """Rows (id, score), one per document; ``labels`` says which documents to learn from.
 
-    Learns from at most about ``sample_docs`` documents with ``sample_bytes`` of text, and scores every window of every text. Null
+    Learns from at most about ``sample_docs`` documents with ``sample_bytes`` of text (see ``learning_rows``), and scores every window of every text. Null
     and empty texts, and those without a word, score as a window without words. Without labels of both kinds, all scores are equal.
     A document with several labels counts as the highest.
     """

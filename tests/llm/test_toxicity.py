@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 
-from ebbwatch.llm.toxicity import STRIDE, WINDOW, ToxicityModel, Words, toxicity, train
+from ebbwatch.llm.toxicity import STRIDE, WINDOW, ToxicityModel, Words, learning_rows, toxicity, train
 from tests.llm.texts import documents, mixed_texts, prose
 
 
@@ -72,3 +72,29 @@ def test_edges(spark):
     assert all(abs(by_id[i] - by_id[i + len(texts)]) < 1e-5 for i in range(len(texts)))
     assert toxicity(docs, labels.limit(0)).select("score").distinct().count() == 1
     assert toxicity(docs.limit(0), labels).count() == 0
+
+
+def learnt(spark, texts, labels, most, most_bytes):
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(labels)], "doc_id long, toxic int")
+    return learning_rows(documents(spark, texts), rows, "doc_id", "text", "toxic", most, most_bytes)
+
+
+def test_rare_toxic_rows_are_learnt_from(spark):
+    texts = [f"{'ä' * 100} {i}" for i in range(4000)]
+    found, toxic = learnt(spark, texts, [int(i % 100 == 0) for i in range(4000)], 400, 40_000)
+    assert sum(toxic) == 40 and toxic.count(0) > 100 and sum(len(t.encode()) for t in found) <= 40_000
+    found, toxic = learnt(spark, texts, [int(i % 20 == 0) for i in range(4000)], 400, 40_000)  # 200 toxic ones, 40 kB
+    assert 90 < sum(toxic) < 100 and 90 < toxic.count(0) < 100
+
+
+def test_one_huge_text_does_not_end_the_sample(spark):
+    rng = random.Random(7)
+    texts, labels = [f"{i} {prose(rng, 10)}" for i in range(40)], [i % 2 for i in range(40)]
+    found, _ = learnt(spark, texts, labels, 40, 64_000)
+    for label in (1, 0):  # the first of its kind is huge
+        first = int(next(t for t in found if int(t.split()[0]) % 2 == label).split()[0])
+        huge = [prose(rng, 100_000) if i == first else t for i, t in enumerate(texts)]
+        some, toxic = learnt(spark, huge, labels, 40, 64_000)
+        pieces = [t for t in some if t not in texts]
+        assert sum(toxic) == 20 and len(some) == 40 and len(pieces) == 1
+        assert 500 < len(pieces[0]) <= 1000 and set(pieces[0].split()) <= set(huge[first].split())
