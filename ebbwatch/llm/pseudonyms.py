@@ -113,16 +113,17 @@ def _moved(day: date, key: bytes, tweak: str) -> date:
 
 def _date(text: str, key: bytes) -> str | None:
     parts = re.split("[-./]", text)
-    if len(parts[0]) == 4:
-        found = _day(*parts)
-        return found and _refilled(text, _moved(found, key, "date").strftime("%Y%m%d"), str.isdigit)
-    if found := _day(parts[2], parts[1], parts[0]):
-        return _refilled(text, _moved(found, key, "date").strftime("%d%m%Y"), str.isdigit)
-    if found := _day(parts[2], parts[0], parts[1]):  # month first; walk on to a day that tells so
-        found = _moved(found, key, "month first")
-        while found.day < 13:
-            found = _moved(found, key, "month first")
-        return _refilled(text, found.strftime("%m%d%Y"), str.isdigit)
+    for order, tweak in (("ymd", "date"),) if len(parts[0]) == 4 else (("dmy", "date"), ("mdy", "month first")):
+        width = dict(zip(order, map(len, parts)))
+        by = dict(zip(order, parts))
+        found = _day(by["y"], by["m"], by["d"])
+        if not found:
+            continue
+        while True:  # walk on to a day that fits the digits, and with the month first to one that tells so
+            found = _moved(found, key, tweak)
+            signs = {"y": f"{found.year:04d}", "m": f"{found.month:0{width['m']}d}", "d": f"{found.day:0{width['d']}d}"}
+            if all(len(signs[c]) == width[c] for c in order) and (tweak == "date" or found.day >= 13):
+                return _refilled(text, "".join(signs[c] for c in order), str.isdigit)
     return None
 
 
@@ -177,13 +178,40 @@ _PATTERNS = {
                         r"[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}"),
     "secret": re.compile(r"(?i)(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)[\"']?\s{0,3}[:=]\s{0,3}[\"']?([A-Za-z0-9_/+-]{16,256})"),
     "iban": re.compile(_EDGE + r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?" + _END),
-    "date": re.compile(r"(?<![0-9./-])(?:[0-9]{4}([-./])[0-9]{2}\1[0-9]{2}|[0-9]{2}([-./])[0-9]{2}\2[0-9]{4})(?![0-9]|[./-][0-9])"),
+    "date": re.compile(r"(?<![0-9./-])(?:[0-9]{4}([-./])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-./])[0-9]{1,2}\2[0-9]{4})(?![0-9]|[./-][0-9])"),
     "ssn": re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"),
     "card": re.compile(r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|[0-9]{4}([ -])[0-9]{6}\2[0-9]{5})(?![0-9])"),
-    "phone": re.compile(r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,12}(?:[ .-][0-9]{2,5}){0,4}|(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4})(?![0-9])"),
+    "phone": re.compile(r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{1,12}(?:[ .-][0-9]{1,12}){0,6}|(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4})(?![0-9])"),
     "ip": re.compile(r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"),
 }
 _DIGIT = re.compile("[0-9]")
+_GROUP_END = re.compile(_END + "(?<=[0-9A-Za-z])")
+_IBAN_SIZES = {  # of the countries in the registry
+    n: set(countries.split()) for n, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV YE",
+        29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+}
+
+
+def _ends(kind: str, text: str, first: int, last: int) -> list[int]:
+    """Where a match may end, the likeliest first: a following word or number can look like one more group of an IBAN or a phone."""
+    if kind not in ("iban", "phone"):
+        return [last]
+    ends = [m.start() for m in _GROUP_END.finditer(text, first, last) if m.start() < last]
+    ends = [last, *reversed(ends)]
+    if kind == "iban":
+        size = lambda x: sum(map(str.isalnum, text[first:x]))
+        return sorted(ends, key=lambda x: text[first : first + 2] not in _IBAN_SIZES.get(size(x), ()))
+    fixed = text[first : first + 2] in ("+1", "+7")  # their numbers have eleven digits
+
+    def rank(x: int) -> tuple[bool, bool]:
+        splits = text[x : x + 1] in (".", "-") and text[x + 1 : x + 2].isdigit()  # what follows hangs on
+        return fixed and sum(map(str.isdigit, text[first:x])) != 11, splits
+
+    return sorted(ends, key=rank)
 
 
 @lru_cache(100_000)
@@ -199,12 +227,17 @@ def found_values(text: str, key: bytes) -> list[tuple[int, int, str, str]]:
     for kind in KINDS:
         if "@" not in text if kind == "email" else not digits and kind != "secret":
             continue
-        for m in _PATTERNS[kind].finditer(text):
-            first, last = m.span(1 if kind == "secret" else 0)
-            if any(first < y and x < last for x, y, _, _ in taken):
-                continue
-            if (name := pseudonym(kind, text[first:last], key)) is not None:
-                taken.append((first, last, kind, name))
+        at = 0
+        while m := _PATTERNS[kind].search(text, at):
+            first, whole = m.span(1 if kind == "secret" else 0)
+            at = m.start() + 1  # a value may begin within a match that is not one
+            for last in _ends(kind, text, first, whole):
+                if any(first < y and x < last for x, y, _, _ in taken):
+                    continue
+                if (name := pseudonym(kind, text[first:last], key)) is not None:
+                    taken.append((first, last, kind, name))
+                    at = last
+                    break
     return sorted(taken)
 
 

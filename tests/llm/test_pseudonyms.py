@@ -58,3 +58,34 @@ def test_table(spark):
     spans = [(v["first"], v["last"], v["kind"]) for v in got["values"][len(texts) - 2]]
     assert spans == [(5, 14, "email"), (22, 31, "email")]
     assert pseudonymised(documents(spark, [])).count() == 0
+
+
+BETWEEN = {
+    "ES9121000418450200051332": "iban", "ES91 2100 0418 4502 0005 1332": "iban", "DE89 3704 0044 0532 0130 00": "iban",
+    "+33 1 23 45 67 89": "phone", "+43 1 5123456": "phone", "+49 30 12345678": "phone", "+49 (0) 30 123456": "phone",
+    "+1 415 555 2671": "phone", "+44 20 7946 0958": "phone", "1/2/1999": "date", "2000-1-25": "date", "3/25/1999": "date", "5.12.1999": "date",
+    "4111 1111 1111 1111": "card", "123-45-6789": "ssn",
+}
+
+
+@pytest.mark.parametrize("text", BETWEEN)
+@pytest.mark.parametrize("around", ["{}", "AT {} AND", "NO {} BIC", "IBAN {} A BC", "AB12 {} DATE", "x {}, 17", "TO {} 20261234", "{} 10.20.30.40"])
+def test_values_between_words_and_numbers(text, around):
+    whole = around.format(text)
+    values = found_values(whole, KEY)
+    at = whole.index(text)
+    assert (at, at + len(text), BETWEEN[text]) in [v[:3] for v in values]
+    out = replaced(whole, values)
+    assert text not in out and len(out) - len(whole) == sum(len(v[3]) - (v[1] - v[0]) for v in values)
+    assert ("10.20.30.40" in whole) == any(v[2] == "ip" for v in values)
+
+
+def test_dates_keep_their_digits():
+    days = [f"{d}/{m}/{y}" for y in (1999, 2000) for m in range(1, 10) for d in range(1, 10)]
+    names = [found_values(x, KEY)[0][3] for x in days]
+    assert len(set(names)) == len(days) and all(len(n) == 8 for n in names)
+
+
+def test_a_following_value_is_not_taken_for_a_group():
+    values = found_values("call +44 20 7946 0958 2000-01-02 or +1 415 555 2671 20261", KEY)
+    assert [v[2] for v in values] == ["phone", "date", "phone"] and values[2][:2] == (36, 51)
