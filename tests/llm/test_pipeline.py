@@ -1,8 +1,10 @@
+import random
+
 import corpus_pipeline
 from ebbwatch.llm.decontamination import contamination
 from ebbwatch.llm.pseudonyms import found_values
 from tests.llm.test_similarity_join import brute
-from tests.llm.texts import documents, frame
+from tests.llm.texts import documents, frame, prose
 
 COLUMNS = list(corpus_pipeline.COLUMNS)
 
@@ -31,3 +33,18 @@ def test_edges(spark, sf_dir):
         for _, stage in corpus_pipeline.STAGES[:4]:
             docs = stage(spark, docs, sf_dir)
         assert sorted([r.doc_id for r in docs.collect()], key=str) == ids
+
+
+def test_no_labels_to_learn_from(spark):
+    docs = documents(spark, ["some text", "日本", "12 3", None], [None] * 4)
+    assert sorted(r.doc_id for r in corpus_pipeline.languages(spark, docs, "").collect()) == [0, 1]
+
+
+def test_texts_that_share_an_id(spark):
+    rng = random.Random(4)
+    a, b, c, d = (prose(rng, 60, 5000) for _ in range(4))
+    rows = [(1, a), (2, a), (2, b), (2, b), (3, c), (3, d), (3, f"{d} more"), (4, d), (5, None), (5, ""), (5, "")]
+    docs = frame(spark, [(i, t, "en", "s", len(t or "")) for i, t in rows])
+    got = corpus_pipeline.near_duplicates(spark, docs, "")
+    got = sorted([(r.doc_id, "d" if r.text and r.text.startswith(d) else r.text) for r in got.collect()], key=str)
+    assert got == sorted([(1, a), (2, b), (3, c), (3, "d"), (5, None), (5, "")], key=str)
