@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbwatch.llm.common import Batches, fold, map_batches, named, read_table, text_blocks, texts_of
+from ebbwatch.llm.common import Batches, excerpt, fold, map_batches, named, read_table, text_blocks, texts_of
 
 UNKNOWN = "und"
 GRAMS = (2, 3, 4)  # bytes of lower-cased UTF-8
@@ -21,7 +21,10 @@ SLOTS_LOG2 = 20
 SAMPLE_DOCS = 3_000  # bound of the labelled documents that the filters are filled from, all languages together
 SHARE_OF_MOST = 0.3  # an n-gram belongs to languages in which it is at least this frequent, against the most
 LEAST_COUNT = 3
-LANGUAGES = 64  # bits of a slot
+SAMPLE_BYTES = 16 << 20  # bound of their text, the same for each language
+LONG = 16  # a text over this part of a language's bytes is learnt from by pieces
+LANGUAGES = 64  # bits of a word; more languages take more words
+FILTER_BYTES = 64 << 20  # bound of all words; more than eight have fewer slots each, as each language has fewer rows
 
 # Everything of ASCII but letters separates words.
 _SPACED = bytes(b if chr(b).isalpha() or b >= 0x80 else 0x20 for b in range(256))
@@ -48,14 +51,15 @@ def _grams(data: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class LanguageFilters:
-    """Bit-sliced Bloom filters with two hash functions; at most 64 languages, 8 MB at most."""
+    """Bit-sliced Bloom filters with two hash functions: an array of slots, 8 MB at most, for every 64 languages."""
 
     def __init__(self, languages: list[str], slots_log2: int = SLOTS_LOG2):
-        if len(languages) > LANGUAGES:
-            raise ValueError(f"{len(languages)} languages; a slot has {LANGUAGES} bits")
+        words = max(1, -(-len(languages) // LANGUAGES))
+        while words << slots_log2 + 3 > FILTER_BYTES:
+            slots_log2 -= 1
         self.languages, self.bits = languages, slots_log2
-        kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if np.dtype(k).itemsize * 8 >= len(languages))
-        self.slots = np.zeros(1 << slots_log2, kind)
+        kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if np.dtype(k).itemsize * 8 >= min(len(languages), LANGUAGES))
+        self.slots = np.zeros((words, 1 << slots_log2), kind)
 
     def _places(self, codes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         mixed = (codes.astype(np.uint64) + np.uint64(n << 40)) * _MIX
@@ -64,20 +68,25 @@ class LanguageFilters:
         low = np.uint64((1 << self.bits) - 1)
         return (mixed >> np.uint64(64 - self.bits)).astype(np.int64), ((mixed >> np.uint64(16)) & low).astype(np.int64)
 
-    def put(self, codes: np.ndarray, n: int, masks: np.ndarray) -> None:
+    def bits_of(self, word: int) -> list[tuple[int, np.generic]]:
+        """The languages of a word, by number, and their bits."""
+        kind = self.slots.dtype.type
+        return [(i, kind(i % LANGUAGES)) for i in range(len(self.languages)) if i // LANGUAGES == word]
+
+    def put(self, codes: np.ndarray, n: int, masks: np.ndarray, word: int = 0) -> None:
         for places in self._places(codes, n):
-            np.bitwise_or.at(self.slots, places, masks.astype(self.slots.dtype))
+            np.bitwise_or.at(self.slots[word], places, masks.astype(self.slots.dtype))
 
-    def masks(self, codes: np.ndarray, n: int) -> np.ndarray:
-        """For each n-gram, the bits of all languages whose filter holds it."""
+    def masks(self, codes: np.ndarray, n: int, word: int = 0) -> np.ndarray:
+        """For each n-gram, the bits of all languages of a word whose filter holds it."""
         first, second = self._places(codes, n)
-        return self.slots[first] & self.slots[second]
+        return self.slots[word][first] & self.slots[word][second]
 
     def false_positives(self) -> np.ndarray:
         """Chance that a language's filter holds an n-gram that was not put in."""
         one = self.slots.dtype.type(1)
-        fill = [np.count_nonzero(self.slots & (one << self.slots.dtype.type(i))) for i in range(len(self.languages))]
-        return (np.array(fill, float) / len(self.slots)) ** 2
+        fill = [np.count_nonzero(slots & (one << bit)) for w, slots in enumerate(self.slots) for _, bit in self.bits_of(w)]
+        return (np.array(fill, float) / self.slots.shape[1]) ** 2
 
 
 def fit_filters(rows: list[tuple[str, str]]) -> LanguageFilters:
@@ -92,15 +101,16 @@ def fit_filters(rows: list[tuple[str, str]]) -> LanguageFilters:
             codes, valid = _grams(np.frombuffer(b"".join(map(_letters, by[language])), np.uint8), n)
             found.append(np.unique(codes[valid], return_counts=True))
         every = np.unique(np.concatenate([c for c, _ in found])) if found else np.zeros(0, np.uint32)
-        counts = np.zeros((len(found), len(every)))
-        for i, (codes, n_codes) in enumerate(found):
-            counts[i, np.searchsorted(every, codes)] = n_codes
-        shares = counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)
-        own = (shares >= SHARE_OF_MOST * shares.max(axis=0, initial=0)) & (counts >= LEAST_COUNT)
-        masks = np.zeros(len(every), np.uint64)
-        for i in range(len(found)):
-            masks |= own[i].astype(np.uint64) << np.uint64(i)
-        filters.put(every, n, masks)
+        most, spots = np.zeros(len(every)), [np.searchsorted(every, codes) for codes, _ in found]
+        for at, (_, counts) in zip(spots, found):
+            most[at] = np.maximum(most[at], counts / max(1, counts.sum()))
+        for word in range(len(filters.slots)):
+            masks = np.zeros(len(every), np.uint64)
+            for i, bit in filters.bits_of(word):
+                at, counts = spots[i], found[i][1]
+                own = (counts / max(1, counts.sum()) >= SHARE_OF_MOST * most[at]) & (counts >= LEAST_COUNT)
+                masks[at[own]] |= np.uint64(1) << np.uint64(bit)
+            filters.put(every, n, masks, word)
     return filters
 
 
@@ -116,13 +126,14 @@ def identify(texts: list[str], filters: LanguageFilters) -> tuple[list[str], lis
     one = filters.slots.dtype.type(1)
     for n in GRAMS:
         codes, valid = _grams(data, n)  # an n-gram across two texts has two blanks in a row
-        masks = filters.masks(codes, n)
-        masks[~valid] = 0
         at = np.minimum(starts[:-1], max(0, len(codes) - 1))
         total += np.add.reduceat(valid, at, dtype=np.int64) if len(codes) else 0
-        for i in range(len(filters.languages)):
-            bit = (masks >> filters.slots.dtype.type(i)) & one
-            hits[i] += np.add.reduceat(bit, at, dtype=np.int64) if len(codes) else 0
+        for word in range(len(filters.slots)):
+            masks = filters.masks(codes, n, word)
+            masks[~valid] = 0
+            for i, shift in filters.bits_of(word):
+                bit = (masks >> shift) & one
+                hits[i] += np.add.reduceat(bit, at, dtype=np.int64) if len(codes) else 0
     wrong = filters.false_positives()[:, None]
     shares = np.maximum((hits / np.maximum(total, 1) - wrong) / np.maximum(1 - wrong, 1e-9), 0)
     best = shares.argmax(axis=0)
@@ -131,16 +142,28 @@ def identify(texts: list[str], filters: LanguageFilters) -> tuple[list[str], lis
     return [filters.languages[b] if x else UNKNOWN for b, x in zip(best, has_letter)], scores.tolist()
 
 
-def learning_rows(docs: DataFrame, id_col: str, text_col: str, lang_col: str, most: int) -> list[tuple[str, str]]:
-    """At most about ``most`` whole documents, an equal number for each language, chosen by a hash of the id."""
+def learning_rows(
+    docs: DataFrame, id_col: str, text_col: str, lang_col: str, most: int, most_bytes: int = SAMPLE_BYTES,
+) -> list[tuple[str, str]]:
+    """At most about ``most`` documents, an equal number for each language, chosen by a hash of the id.
+
+    Each language has an equal part of ``most_bytes``. A text that does not fit is passed over, and one over a small part
+    of these bytes is represented by pieces of it.
+    """
     rows = named(docs, id_col, text_col, lang_col).toDF("id", "text", "lang").where("id is not null and lang is not null")
-    sizes = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
-    each = most / max(1, len(sizes))
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("size"))
+    languages = max(1, sizes.count())
     chance = F.pmod(F.xxhash64(F.col("id"), F.lit("language sample")), F.lit(1 << 40)) / float(1 << 40)
-    share = F.lit(0.0)
-    for lang, n in sizes.items():
-        share = F.when(F.col("lang") == lang, F.lit(each / n)).otherwise(share)
-    return [tuple(r) for r in rows.where(chance < share).select("text", "lang").toLocalIterator()]
+    chosen = rows.join(F.broadcast(sizes), "lang").withColumn("chance", chance).where(F.col("chance") < most / languages / F.col("size"))
+    bytes_each = most_bytes // min(languages, most)
+    chosen = chosen.withColumn("text", excerpt("text", max(1, bytes_each // LONG)))
+    found, used = [], {}
+    for text, lang in chosen.orderBy("chance", "id").select("text", "lang").toLocalIterator():
+        size = len((text or "").encode())
+        if used.get(lang, 0) + size <= bytes_each:
+            used[lang] = used.get(lang, 0) + size
+            found.append((text, lang))
+    return found
 
 
 def language_id(
@@ -149,7 +172,7 @@ def language_id(
 ) -> DataFrame:
     """Rows (id, lang_pred, score) and the columns of ``keep``, one per document of ``docs``.
 
-    The filters are filled from at most about ``sample_docs`` whole documents of ``learn``; rows without
+    The filters are filled from at most about ``sample_docs`` documents of ``learn`` (see ``learning_rows``); rows without
     a language teach nothing. Null texts and texts without a letter are ``und`` with score 0. A
     text that shares no n-gram with any language gets the language with most learning rows and
     score 0; ties go to the language with more rows, then the smaller name. Without learning rows

@@ -10,11 +10,11 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbwatch.llm.attentive_gru import Adam, Layer, Params, going, new_layer, pooled, scan, sigmoid
-from ebbwatch.llm.common import Batches, fold, joined_bytes, map_batches, named, read_table, text_blocks
+from ebbwatch.llm.common import Batches, excerpt, fold, joined_bytes, map_batches, named, read_table, text_blocks
 from ebbwatch.llm.shingles import mixed
 
 WINDOW, STRIDE = 16, 8
@@ -25,7 +25,6 @@ LEAST_COUNT = 5
 SAMPLE_DOCS = 3_000  # bound of the labelled documents learnt from, up to half of them toxic
 SAMPLE_BYTES = 8 << 20  # bound of their text, up to half of it toxic
 LONG = 32  # a text over this part of a half is learnt from by pieces
-PIECES = 16  # of a long text, spread evenly over it
 ROUNDS = 14  # at least; small samples are gone through more often
 STEPS = 400  # batches of 256 windows, at least
 BLOCK = 4 << 20
@@ -236,7 +235,7 @@ def learning_rows(
     share = F.when(F.col("label") == 1, F.lit(wanted[1] / max(1, sizes.get(1, 0)))).otherwise(F.lit(wanted[0] / max(1, sizes.get(0, 0))))
     chosen = label.withColumn("chance", chance).where(F.col("chance") < share)
     rows = named(docs, id_col, text_col).toDF("id", "text").join(F.broadcast(chosen), "id")  # about ``most`` rows
-    rows = rows.withColumn("text", _excerpt("text", max(1, most_bytes // 2 // LONG)))
+    rows = rows.withColumn("text", excerpt("text", max(1, most_bytes // 2 // LONG)))
     texts, toxic_of, room = [], [], {1: most_bytes // 2, 0: most_bytes}
     for text, value in rows.orderBy(F.desc("label"), "chance", "id").select("text", "label").toLocalIterator():
         size = len((text or "").encode())
@@ -249,15 +248,6 @@ def learning_rows(
     return texts, toxic_of
 
 
-def _excerpt(text: str, most: int) -> Column:
-    """The text, or of one with more bytes than ``most`` pieces with about as many, without the words cut at their ends."""
-    length, size = F.char_length(text), F.octet_length(text)
-    each = F.greatest(F.lit(1), F.floor(length / size * most / PIECES).cast("int"))
-    piece = lambda i: F.substring(F.col(text), (length * i / PIECES).cast("int") + 1, each)
-    pieces = F.transform(F.sequence(F.lit(0), F.lit(PIECES - 1)), lambda i: F.regexp_replace(piece(i), r"^\S+\s|\s\S+$", ""))
-    return F.when(size > most, F.concat_ws(" ", pieces)).otherwise(F.col(text))
-
-
 def toxicity(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
     sample_docs: int = SAMPLE_DOCS, sample_bytes: int = SAMPLE_BYTES,

@@ -1,6 +1,6 @@
 import random
 
-from ebbwatch.llm.language_id import LanguageFilters, fit_filters, identify, language_id
+from ebbwatch.llm.language_id import LanguageFilters, fit_filters, identify, language_id, learning_rows
 from tests.llm.texts import documents, mixed_texts
 
 PARTS = {"aa": ["ting", "the", "ou", "er"], "bb": ["schä", "lich", "ung", "ein"], "cc": ["ción", "mente", "que", "ado"]}
@@ -41,3 +41,26 @@ def test_edges(spark):
     assert (got.lang_pred[-60:] == langs[-60:]).all()
     assert set(language_id(docs, docs.limit(0)).toPandas().lang_pred) == {"und"}
     assert language_id(docs.limit(0), docs).count() == 0
+
+
+def test_more_languages_than_bits(spark):
+    rng = random.Random(9)
+    words = {f"l{i:03d}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(4)] for i in range(130)}
+    langs = [k for k in words for _ in range(6)]
+    texts = [" ".join(rng.choice(words[k]) for _ in range(30)) for k in langs]
+    docs = documents(spark, texts, langs)
+    got = language_id(docs, docs).toPandas().set_index("doc_id").sort_index()
+    assert (got.lang_pred == langs).mean() > 0.98
+
+
+def test_bytes_learnt_from_are_bounded(spark):
+    rng = random.Random(2)
+    texts = [text(rng, k, 20) for _ in range(30) for k in PARTS]
+    for i in range(3):
+        texts[i] = text(rng, list(PARTS)[i], 50_000)
+    docs = documents(spark, texts, list(PARTS) * 30)
+    found = learning_rows(docs, "doc_id", "text", "lang", 3000, 30_000)
+    for k in PARTS:
+        mine = [t for t, lang in found if lang == k]
+        assert len(mine) == 30 and sum(len(t.encode()) for t in mine) <= 10_000
+        assert sum(t not in texts for t in mine) == 1
