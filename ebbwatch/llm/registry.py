@@ -10,6 +10,7 @@ import corpus_pipeline
 from ebbwatch.llm.decontamination import op10_decontamination
 from ebbwatch.llm.exact_dedup import op1_exact_dedup
 from ebbwatch.llm.language_id import op5_language_id
+from ebbwatch.llm.license_scan import op11_license_scan
 from ebbwatch.llm.nearest import op2_nearest
 from ebbwatch.llm.packing import op8_packing
 from ebbwatch.llm.pseudonyms import op7_pseudonyms
@@ -31,6 +32,7 @@ def corpus_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_packing": op8_packing,
         "op9_similarity_join": op9_similarity_join,
         "op10_decontamination": op10_decontamination,
+        "op11_license_scan": op11_license_scan,
         "pipeline": corpus_pipeline.run,
     }
 

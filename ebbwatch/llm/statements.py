@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import string
 
+from ebbwatch.llm.license_scan import license_templates
+
 _LOWER = f"translate(text, '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
 
 # The words of the contracts.
@@ -57,5 +59,58 @@ FROM words LEFT JOIN sizes USING (doc_id) LEFT JOIN reached USING (doc_id) GROUP
 """
 
 
+
+
+def _license_rows() -> tuple[str, str]:
+    """The templates as rows: words of phrases with their places, words of notices with what a block needs."""
+    phrases, notices = [], []
+    for number, t in enumerate(license_templates()):
+        words = [w.decode() for w in t.words]
+        if t.consecutive:
+            phrases += [f"({number}, '{t.label}', {k}, '{w}', {len(words)})" for k, w in enumerate(words)]
+        else:
+            distinct = sorted(set(words))
+            notices += [f"({number}, '{t.label}', {t.step}, {t.needed}, {len(distinct)}, '{w}')" for w in distinct]
+    return ", ".join(phrases), ", ".join(notices)
+
+
+def op11_license_scan() -> str:
+    phrases, notices = _license_rows()
+    return f"""
+WITH words AS (SELECT doc_id, coalesce({_WORDS_10}, []) AS w FROM documents),
+phrases(number, label, k, word, m) AS (VALUES {phrases}),
+notices(number, label, step, needed, size, word) AS (VALUES {notices}),
+known AS (SELECT word FROM phrases UNION SELECT word FROM notices),
+spots AS (
+    SELECT doc_id, i - 1 AS position, w[i] AS word FROM words, unnest(range(1, len(w) + 1)) AS s(i)
+    WHERE w[i] IN (SELECT word FROM known)
+),
+places AS (
+    SELECT doc_id, label, position - k AS first FROM spots JOIN phrases USING (word)
+    GROUP BY doc_id, number, label, m, position - k HAVING count(*) = m
+),
+blocks AS (
+    SELECT doc_id, label, block, count(DISTINCT word) / size AS containment
+    FROM spots JOIN notices USING (word), unnest([position // step, position // step - 1]) AS b(block) WHERE block >= 0
+    GROUP BY doc_id, number, label, size, needed, block HAVING count(DISTINCT word) >= needed
+),
+base AS (
+    SELECT doc_id, count(*) AS n_base, min(first) AS first_word, max(first) AS last_word,
+           string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
+    FROM places GROUP BY doc_id
+),
+every AS (
+    SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(containment) AS score
+    FROM (SELECT doc_id, label, 1.0::DOUBLE AS containment FROM places UNION ALL SELECT doc_id, label, containment FROM blocks) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0) AS score
+FROM words LEFT JOIN base USING (doc_id) LEFT JOIN every USING (doc_id)
+"""
+
+
 def corpus_statements() -> dict[str, str]:
-    return {"op9_similarity_join": OP9_SIMILARITY_JOIN, "op10_decontamination": OP10_DECONTAMINATION}
+    return {
+        "op9_similarity_join": OP9_SIMILARITY_JOIN, "op10_decontamination": OP10_DECONTAMINATION,
+        "op11_license_scan": op11_license_scan(),
+    }
