@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
+from ebbwatch.llm.conversation_repair import op12_conversation_repair
 from ebbwatch.llm.decontamination import op10_decontamination
 from ebbwatch.llm.exact_dedup import op1_exact_dedup
 from ebbwatch.llm.language_id import op5_language_id
@@ -33,6 +34,7 @@ def corpus_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_similarity_join": op9_similarity_join,
         "op10_decontamination": op10_decontamination,
         "op11_license_scan": op11_license_scan,
+        "op12_conversation_repair": op12_conversation_repair,
         "pipeline": corpus_pipeline.run,
     }
 
