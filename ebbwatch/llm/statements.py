@@ -109,8 +109,86 @@ FROM words LEFT JOIN base USING (doc_id) LEFT JOIN every USING (doc_id)
 """
 
 
+def crc32(text: str) -> str:
+    """The unsigned CRC-32 of an ASCII text."""
+    code = f"list_transform(string_split({text}, ''), lambda ch: CAST(ascii(ch) AS BIGINT))"
+    bit = "lambda x, i: xor(x >> 1, 3988292384 * (x & 1))"
+    byte = f"lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), {bit})"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {code}), {byte}), 4294967295)"
+
+
+# States: 0 before anything, s behind a system turn, u with an open pair, a behind a pair.
+OP12_CONVERSATION_REPAIR = f"""
+WITH RECURSIVE inserts(held, state, letters, cost, lines) AS (VALUES
+    ('0', '0', '', 0, ''), ('s', 's', '', 0, ''), ('u', 'u', '', 0, ''), ('a', 'a', '', 0, ''),
+    ('0', 'u', 'I', 5, 'user:\n'), ('s', 'u', 'I', 5, 'user:\n'), ('a', 'u', 'I', 5, 'user:\n'), ('u', 'a', 'I', 5, 'assistant:\n'),
+    ('0', 'a', 'II', 10, 'user:\nassistant:\n'), ('s', 'a', 'II', 10, 'user:\nassistant:\n'),
+    ('a', 'a', 'II', 10, 'user:\nassistant:\n'), ('u', 'u', 'II', 10, 'assistant:\nuser:\n')
+),
+edits(held, state, letter, initial) AS (VALUES
+    ('0', 's', 'K', 's'), ('0', 'u', 'K', 'u'), ('s', 'u', 'K', 'u'), ('a', 'u', 'K', 'u'), ('u', 'a', 'K', 'a'),
+    ('0', 'u', 'R', 'u'), ('s', 'u', 'R', 'u'), ('a', 'u', 'R', 'u'), ('u', 'a', 'R', 'a'),
+    ('0', '0', 'D', ''), ('s', 's', 'D', ''), ('u', 'u', 'D', ''), ('a', 'a', 'D', '')
+),
+kinds AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           {crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS kind
+    FROM conversations
+),
+damaged AS (
+    SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+           CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+    FROM kinds, unnest(range(CASE kind WHEN 3 THEN 2 ELSE 1 END)) AS c(copy) WHERE kind <> 0
+),
+numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+           rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS shown
+    FROM damaged
+),
+seen AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again, left(role, 1) AS initial,
+           lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS previous
+    FROM numbered
+),
+turns AS (
+    SELECT *, CASE WHEN shown = '' THEN 'blank' WHEN again THEN 'duplicate' WHEN right(shown, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+    FROM seen
+),
+ways AS (
+    SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS i, '0' AS held, {{'cost': 0, 'audit': '', 'lines': ''}} AS best FROM damaged
+    UNION ALL
+    SELECT t.conv_id, t.i, e.state, min({{
+        'cost': w.best.cost + n.cost + CASE e.letter WHEN 'D' THEN 2 WHEN 'R' THEN 1 ELSE 0 END + CASE WHEN e.letter <> 'D' AND t.fault = 'truncated' THEN 5 ELSE 0 END,
+        'audit': w.best.audit || n.letters || e.letter,
+        'lines': w.best.lines || n.lines || CASE e.letter WHEN 'D' THEN '' WHEN 'K' THEN t.role || ':' || t.text || chr(10)
+            ELSE CASE e.initial WHEN 'u' THEN 'user' ELSE 'assistant' END || ':' || t.text || chr(10) END
+    }})
+    FROM ways AS w JOIN turns AS t ON t.conv_id IS NOT DISTINCT FROM w.conv_id AND t.i = w.i + 1
+    JOIN inserts AS n ON n.held = w.held JOIN edits AS e ON e.held = n.state
+    WHERE e.letter = 'D' OR t.fault IN ('', 'truncated') AND (e.letter = 'R') <> (e.initial = t.initial)
+    GROUP BY t.conv_id, t.i, e.state
+),
+counts AS (
+    SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+           count(*) FILTER (previous IS NOT NULL AND previous || initial NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM turns GROUP BY conv_id
+),
+ended AS (
+    SELECT w.conv_id, min({{'cost': w.best.cost + n.cost, 'audit': w.best.audit || n.letters, 'lines': w.best.lines || n.lines}}) AS best
+    FROM ways AS w JOIN counts AS c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND c.n = w.i JOIN inserts AS n ON n.held = w.held
+    WHERE n.state IN ('0', 'a') GROUP BY w.conv_id
+)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, CAST(coalesce(best.cost, 0) AS BIGINT) AS cost, coalesce(best.audit, '') AS audit,
+       sha256(coalesce(left(best.lines, length(best.lines) - 1), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS o
+LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN ended ON ended.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+
 def corpus_statements() -> dict[str, str]:
     return {
         "op9_similarity_join": OP9_SIMILARITY_JOIN, "op10_decontamination": OP10_DECONTAMINATION,
-        "op11_license_scan": op11_license_scan(),
+        "op11_license_scan": op11_license_scan(), "op12_conversation_repair": OP12_CONVERSATION_REPAIR,
     }
