@@ -8,7 +8,6 @@ third of all turns is parsed by many tasks. See ``role_grammar`` for the parser.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from typing import NamedTuple
 
@@ -17,12 +16,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbwatch.llm.common import Batches, map_batches, named, read_table
+from ebbwatch.llm.digests import EMPTY, joined_digests
 from ebbwatch.llm.ordering import placed, runs_of
 from ebbwatch.llm.role_grammar import LEGAL, joined, live_states, parse
 from ebbwatch.session import write_table
 
 PIECE = 2048  # turns that are parsed at once
-EMPTY = hashlib.sha256(b"").hexdigest()
 
 # Blanks and sentence ends of the contract.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -152,32 +151,9 @@ def _repaired(turns: DataFrame, taken: DataFrame, last: DataFrame) -> DataFrame:
 
 
 def line_digests(repaired: DataFrame) -> DataFrame:
-    """SHA-256 of each conversation's ``role:text`` lines. A digest is sequential, so the lines of a conversation stream
-    through one task in order, which holds the state of the digest only."""
-
-    def work(batches: Batches) -> Batches:
-        now, digest = None, None
-        out: list[tuple] = []
-
-        def made(done: list[tuple]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in done], pa.string()) for i in (0, 1)], ["conv", "sha256"])
-
-        for b in batches:
-            for conv, line in zip(b.column("conv").to_pylist(), b.column("line").to_pylist()):
-                if digest is None or conv != now:
-                    if digest is not None:
-                        out.append((now, digest.hexdigest()))
-                    now, digest = conv, hashlib.sha256(line.encode())
-                else:
-                    digest.update(b"\n" + line.encode())
-            yield made(out)
-            out = []
-        if digest is not None:
-            yield made([(now, digest.hexdigest())])
-
+    """SHA-256 of each conversation's ``role:text`` lines."""
     lines = repaired.select("conv", F.col("pos").isNull().alias("ends"), "pos", "k", F.concat("role", F.lit(":"), "text").alias("line"))
-    ordered = lines.repartition("conv").sortWithinPartitions("conv", "ends", "pos", "k")
-    return map_batches(ordered.select("conv", "line"), work, "conv string, sha256 string")
+    return joined_digests(lines, ["conv"], ["ends", "pos", "k"], "line", "\n")
 
 
 def repair_report(found: Repair, conversations: DataFrame, conv_col: str = "conv_id") -> DataFrame:

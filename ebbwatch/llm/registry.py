@@ -14,6 +14,7 @@ from ebbwatch.llm.language_id import op5_language_id
 from ebbwatch.llm.license_scan import op11_license_scan
 from ebbwatch.llm.nearest import op2_nearest
 from ebbwatch.llm.packing import op8_packing
+from ebbwatch.llm.prefix_trie import op13_prefix_trie
 from ebbwatch.llm.pseudonyms import op7_pseudonyms
 from ebbwatch.llm.sharding import op4_sharding
 from ebbwatch.llm.similarity_join import op9_similarity_join
@@ -35,6 +36,7 @@ def corpus_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_decontamination": op10_decontamination,
         "op11_license_scan": op11_license_scan,
         "op12_conversation_repair": op12_conversation_repair,
+        "op13_prefix_trie": op13_prefix_trie,
         "pipeline": corpus_pipeline.run,
     }
 

@@ -187,8 +187,37 @@ LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN ende
 """
 
 
+OP13_PREFIX_TRIE = f"""
+WITH original AS (
+    SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn NULLS FIRST, role, text) AS turns,
+           {crc32("CAST(any_value(conv_id) AS VARCHAR)")} % 6 AS h
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+),
+made AS (
+    SELECT c.conv_id, list_concat(coalesce(b.turns, [])[1 : c.h], c.turns[c.h + 1 :]) AS turns
+    FROM original AS c LEFT JOIN original AS b ON b.conv_id = c.conv_id - c.conv_id % 100
+),
+prefixes AS (SELECT conv_id, d AS depth, turns[1 : d] AS prefix FROM made, unnest(range(0, len(turns) + 1)) AS p(d)),
+nodes AS (SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs FROM prefixes GROUP BY prefix, depth),
+children AS (SELECT prefix[1 : depth - 1] AS prefix, depth - 1 AS depth, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+whole AS (
+    SELECT n.*, coalesce(n_children, 0) AS n_children, CASE depth WHEN 0 THEN 0 ELSE (n_convs - 1) * length(prefix[depth].text) END AS saved
+    FROM nodes AS n LEFT JOIN children USING (prefix, depth)
+),
+sums AS (
+    SELECT prefix[1 : d] AS prefix, d AS depth, count(*) FILTER (n_children = 0) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens
+    FROM whole, unnest(range(0, depth + 1)) AS a(d) GROUP BY ALL
+),
+ended AS (SELECT turns AS prefix, len(turns) AS depth, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids FROM made GROUP BY ALL)
+SELECT w.conv_id, w.depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children, n_leaves, saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM whole AS w JOIN sums USING (prefix, depth) LEFT JOIN ended USING (prefix, depth)
+LEFT JOIN nodes AS p ON p.depth = w.depth - 1 AND p.prefix = w.prefix[1 : w.depth - 1]
+"""
+
+
 def corpus_statements() -> dict[str, str]:
     return {
         "op9_similarity_join": OP9_SIMILARITY_JOIN, "op10_decontamination": OP10_DECONTAMINATION,
         "op11_license_scan": op11_license_scan(), "op12_conversation_repair": OP12_CONVERSATION_REPAIR,
+        "op13_prefix_trie": OP13_PREFIX_TRIE,
     }
