@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ebbwatch.ml import models, prepare, trees
 from ebbwatch.ml.tuning import TunedTree, tune_tree
-from ebbwatch.operators import account, behaviour, breakdown, histogram, label, profiling, sampling, scoring
+from ebbwatch.operators import account, behaviour, breakdown, dictionary, histogram, label, null_patterns, profiling, ranking, sampling, scoring
 from ebbwatch.operators.clean import clean_activity, clean_strings, event_time
 from ebbwatch.plans.features import INDEXED, complete_rows, feature_report, feature_table, user_counts
 from ebbwatch.plans.modelling import ModelData, model_data
@@ -276,6 +276,28 @@ def _rule_scores(rows: DataFrame) -> DataFrame:
     return rows.select("label", F.when(guess, 1).otherwise(0).alias("prediction"))
 
 
+def _rule_score(rows: DataFrame) -> DataFrame:
+    """A score that SQL can state, with many ties."""
+    return rows.select("label", (F.col("avg_monthly_Error") - F.floor(F.col("registered_days") / 50)).alias("score"))
+
+
+def _indexed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Complete rows with the indexes of the text columns from dictionaries, and the dictionaries."""
+    features = write_table(_features(spark, sf_dir), "features")
+    rows, dictionaries = dictionary.index_columns(features, INDEXED)
+    return sampling.data_split(complete_rows(rows, [f"{c}_index" for c in INDEXED])), dictionaries
+
+
+def value_indexes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dictionaries of the text columns as one table."""
+    parts = [d.select(F.lit(c).alias("column_name"), "value", "n", "idx") for c, d in _indexed(spark, sf_dir)[1].items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def indexed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _indexed(spark, sf_dir)[0].select("userId", "label", *[f"{c}_index" for c in INDEXED], "split")
+
+
 def feature_histograms(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Ranges and counts both read the features, so these are written once.
     features = write_table(_published(_features(spark, sf_dir)), "features")
@@ -333,6 +355,9 @@ def _log_queries() -> dict[str, Query]:
         "null_by_auth": on_raw(
             lambda log: profiling.null_by_auth(log, [c for c in log.columns if c != "auth"])
         ),
+        "null_patterns": on_raw(null_patterns.null_pattern_report),
+        "null_implications": on_raw(null_patterns.null_implications),
+        "null_groups": on_raw(null_patterns.null_groups),
         "churn_label": on_clean(label.churn_label, "page"),
         "label_join": on_clean(lambda log: label.label_join(log, label.churn_label(log))),
         "last_interaction": on_clean(account.last_interaction, "ts"),
@@ -423,6 +448,11 @@ def _log_queries() -> dict[str, Query]:
         "class_balance_stratified": on_train(lambda rows: sampling.class_balance(sampling.stratified_sample(rows))),
         "confusion_matrix": on_split(lambda rows: scoring.confusion_matrix(_rule_scores(rows))),
         "classification_metrics": on_split(lambda rows: scoring.classification_metrics(_rule_scores(rows))),
+        "auc_ranked": on_split(lambda rows: ranking.auc_ranked(_rule_score(rows))),
+        "score_ranks": on_split(lambda rows: ranking.score_ranks(_rule_score(rows))),
+        "roc_curve": on_split(lambda rows: ranking.roc_curve(_rule_score(rows))),
+        "value_indexes": value_indexes,
+        "indexed_rows": indexed_rows,
         "model_tree": _model("decision_tree"),
         "model_logistic": _model("logistic_regression"),
         "model_logistic_default": _model("logistic_regression", maxIter=100),

@@ -12,11 +12,11 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ebbwatch.operators.ranking import auc_ranked
 from ebbwatch.operators.sampling import SEED
 from ebbwatch.operators.scoring import CLASS_NAMES, classification_metrics
 from ebbwatch.session import write_table
@@ -56,13 +56,10 @@ def evaluate(predictions: DataFrame, class_names: Sequence[str] = CLASS_NAMES) -
     if "rawPrediction" not in predictions.columns:
         return classification_metrics(predictions, class_names)
     # The model scores each row once; all metrics read the written scores.
-    predictions = write_table(predictions.select("label", "prediction", "rawPrediction"), "scores")
+    score = F.get(vector_to_array("rawPrediction"), F.lit(1)).alias("score")
+    predictions = write_table(predictions.select("label", "prediction", score), "scores")
     hard = classification_metrics(predictions, class_names)
-    # numBins=0 keeps every distinct score; MLlib sorts them over the cluster.
-    auc = BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0).evaluate(predictions)
-    return hard.unionByName(
-        hard.sparkSession.range(1).select(F.lit("auc").alias("metric"), F.lit(auc).alias("value"))
-    )
+    return hard.unionByName(auc_ranked(predictions).select(F.lit("auc").alias("metric"), F.col("auc").alias("value")))
 
 
 def compare_models(train: DataFrame, test: DataFrame, names: Iterable[str] = tuple(CLASSIFIERS)) -> DataFrame:

@@ -311,6 +311,23 @@ _METRIC_ROWS = " UNION ALL ".join(
 )
 
 
+_NULL_PATTERNS = """
+marked AS (SELECT list_filter([{names}], lambda x: x IS NOT NULL) AS names FROM raw),
+patterns AS (SELECT names, count(*) AS n FROM marked GROUP BY names)""".format(
+    names=", ".join(f"CASE WHEN {_q(c)} IS NULL THEN '{c}' END" for c, _ in RAW_COLUMNS)
+)
+
+_SCORED = """
+scored AS (SELECT label, avg_monthly_Error - floor(registered_days / 50) AS score FROM model_rows),
+scores AS (
+  SELECT score, count(*) AS n, count(*) FILTER (label = 1) AS n_pos, count(*) FILTER (label = 0) AS n_neg
+  FROM scored GROUP BY score),
+ranks AS (
+  SELECT s.*, coalesce(sum(n) OVER b, 0)::BIGINT AS below, coalesce(sum(n_pos) OVER b, 0)::BIGINT AS pos_below,
+         coalesce(sum(n_neg) OVER b, 0)::BIGINT AS neg_below, (sum(n_pos) OVER ())::BIGINT AS p, (sum(n_neg) OVER ())::BIGINT AS q
+  FROM scores s WINDOW b AS (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))"""
+
+
 def statements() -> dict[str, str]:
     features_all = _features(f"SELECT {_FEATURE_LIST} FROM features")
     clean_all = _clean(f"SELECT {_CLEAN_LIST} FROM clean")
@@ -351,6 +368,22 @@ ORDER BY ts, "userId", "sessionId", "itemInSession" LIMIT 10"""
             + ", ".join(f'count(*) FILTER (WHERE {_q(c)} IS NULL) AS "{c}_nulls"' for c, _ in RAW_COLUMNS if c != "auth")
             + " FROM raw GROUP BY auth"
         ),
+        "null_patterns": f"WITH {RAW},{_NULL_PATTERNS} "
+        "SELECT array_to_string(names, ',') AS pattern, len(names)::INTEGER AS n_columns, n FROM patterns",
+        "null_implications": f"""WITH {RAW},{_NULL_PATTERNS},
+alone AS (SELECT unnest(names) AS name, n FROM patterns), totals AS (SELECT name, sum(n)::BIGINT AS n FROM alone GROUP BY name),
+pairs AS (SELECT a, b, sum(n)::BIGINT AS n_both FROM patterns, unnest(names) AS x(a), unnest(names) AS y(b) WHERE a <> b GROUP BY a, b)
+SELECT a AS if_null, b AS then_null, t.n AS n_if, n_both, {_r("n_both / t.n")} AS share, n_both = t.n AS always,
+       n_both = t.n AND n_both = u.n AS together
+FROM pairs JOIN totals t ON t.name = a JOIN totals u ON u.name = b""",
+        "null_groups": _raw(
+            "SELECT string_agg(name, ',' ORDER BY name) AS columns, any_value(n)::BIGINT AS n FROM ("
+            + " UNION ALL ".join(
+                f"SELECT '{c}' AS name, count(*) AS n, sum(hash(\"userId\", ts, page, \"sessionId\", \"itemInSession\")::HUGEINT) AS marks FROM raw WHERE {_q(c)} IS NULL"
+                for c, _ in RAW_COLUMNS
+            )
+            + ") WHERE n > 0 GROUP BY marks HAVING count(*) > 1"
+        ),
         # labels and account attributes
         "churn_label": _clean('SELECT "userId", label FROM labels'),
         "label_join": _clean(
@@ -480,6 +513,29 @@ UNION ALL SELECT 'valid_level', valid_level, CAST(valid_level_index AS DOUBLE) F
                 for i, c in enumerate(INPUTS)
             )
         ),
+        "value_indexes": _model(
+            """SELECT 'gender' AS column_name, gender AS value, count(*) AS n, any_value(gender_index) AS idx
+FROM features JOIN gender_rank USING (gender) GROUP BY gender
+UNION ALL SELECT 'location', location, count(*), any_value(location_index) FROM with_gender JOIN location_rank USING (location) GROUP BY location
+UNION ALL SELECT 'valid_level', valid_level, count(*), any_value(valid_level_index)
+FROM with_location JOIN level_rank USING (valid_level) GROUP BY valid_level"""
+        ),
+        "indexed_rows": _model(
+            """SELECT "userId", label, CAST(gender_index AS DOUBLE) AS gender_index,
+       CAST(location_index AS DOUBLE) AS location_index,
+       CAST(valid_level_index AS DOUBLE) AS valid_level_index, split FROM model_rows"""
+        ),
+        # ranks over all rows: the pairs that a score orders are counted one by one
+        "auc_ranked": f"""WITH {MODEL_ROWS},{_SCORED},
+pairs AS (SELECT sum(CASE WHEN x.score > y.score THEN 1.0 WHEN x.score = y.score THEN 0.5 ELSE 0 END) AS won
+  FROM scored x JOIN scored y ON x.label = 1 AND y.label = 0)
+SELECT {_r("won / (count(*) FILTER (label = 1) * count(*) FILTER (label = 0))")} AS auc, count(*) FILTER (label = 1) AS n_pos,
+       count(*) FILTER (label = 0) AS n_neg FROM scored, pairs GROUP BY won""",
+        "score_ranks": f"""WITH {MODEL_ROWS},{_SCORED}
+SELECT {_r("score")} AS score, n, n_pos, n_neg, below, pos_below, neg_below, {_r("below + (n + 1) / 2")} AS mid_rank FROM ranks""",
+        "roc_curve": f"""WITH {MODEL_ROWS},{_SCORED}
+SELECT {_r("score")} AS score, {_r("(p - pos_below) / p")} AS tpr, {_r("(q - neg_below) / q")} AS fpr,
+       {_r("(p - pos_below) / (p - pos_below + q - neg_below)")} AS precision FROM ranks""",
         "data_split": _model('SELECT "userId", split FROM model_rows'),
         "stratified_sample": _model(
             f"""SELECT "userId", label FROM model_rows WHERE split = 'train'
