@@ -13,14 +13,16 @@ from pyspark.ml.classification import DecisionTreeClassificationModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbwatch.ml import models, prepare, trees
+from ebbwatch.ml import models, page_vectors, prepare, trees
 from ebbwatch.ml.tuning import TunedTree, tune_tree
 from ebbwatch.operators import account, behaviour, breakdown, dictionary, histogram, label, null_patterns, profiling, ranking, sampling, scoring
 from ebbwatch.operators.clean import clean_activity, clean_strings, event_time
-from ebbwatch.plans.features import INDEXED, complete_rows, feature_report, feature_table, user_counts
+from ebbwatch.plans import cubes
+from ebbwatch.plans.features import INDEXED, complete_rows, feature_report, user_counts, user_features
 from ebbwatch.plans.modelling import ModelData, model_data
 from ebbwatch.session import scratch_path, prepare_session, write_table
 from ebbwatch.sources import activity_log as logs
+from ebbwatch.sources import batches
 from ebbwatch.sources.star_tables import activity_log
 from sqlchecks.statements import statements
 
@@ -70,19 +72,11 @@ def _clean(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return clean_activity(_raw(spark, sf_dir, *named))
 
 
-def _pages(spark: SparkSession, sf_dir: str) -> list[str]:
-    return behaviour.discover_pages(_clean(spark, sf_dir, "page"))
+_CUBE_COLUMNS = ("page", "level", "gender", "location", "registration", "sessionId", "itemInSession")
 
 
 def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The account columns cost a join of the events; the behaviour does without it.
-    accounts = account.account_rows(
-        _clean(spark, sf_dir, "page", "level", "gender", "location", "registration", "itemInSession")
-    )
-    return feature_table(
-        accounts,
-        behaviour.user_behaviour(_clean(spark, sf_dir, "page", "sessionId", "itemInSession"), _pages(spark, sf_dir)),
-    )
+    return user_features(_clean(spark, sf_dir, *_CUBE_COLUMNS))
 
 
 def _model_data(spark: SparkSession, sf_dir: str) -> ModelData:
@@ -127,6 +121,55 @@ def features_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _published(logs.read_features_csv(spark, path, features.schema))
 
 
+def land_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land the cleaned log in two batches that share days, one of them twice, and read it back."""
+    clean = _clean(spark, sf_dir)
+    path = scratch_path(spark, "log-batches")
+    even = F.col("sessionId") % 2 == 0
+    for name, part in (("even", even), ("odd", ~even), ("even", even)):
+        batches.land_batch(clean.where(part), path, name)
+    return _published(batches.read_batches(spark, path, clean.schema))
+
+
+def landed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of two batches has landed by day; the second comes again with fewer days."""
+    clean = _clean(spark, sf_dir, "sessionId")
+    path = scratch_path(spark, "log-batches")
+    even = F.col("sessionId") % 2 == 0
+    for name, part in (("even", even), ("odd", ~even), ("odd", ~even & (F.dayofmonth("date") <= 15))):
+        batches.land_batch(clean.where(part), path, name)
+    return _published(batches.landed_days(spark, path, clean.schema))
+
+
+def activity_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored cube, merged over batches; without the exact recency key, which only orders."""
+    return _published(cubes.merged_cube(_stored_cubes(spark, sf_dir)).drop("rank"))
+
+
+def _stored_cubes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cubes of three batches of the log that share users, days and sessions."""
+    clean = _clean(spark, sf_dir, *_CUBE_COLUMNS, "length")
+    path = scratch_path(spark, "cubes")
+    for i in range(3):
+        stored = cubes.add_to_cubes(clean.where(F.pmod(F.hash("ts"), F.lit(3)) == i), path, f"part-{i}")
+    return stored
+
+
+def features_from_cubes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _published(cubes.features_from_cube(_stored_cubes(spark, sf_dir)))
+
+
+def _page_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return behaviour.page_means_long(_clean(spark, sf_dir, "page"))
+
+
+def page_vector_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The entries of the users' sparse page vectors."""
+    means = write_table(_page_means(spark, sf_dir), "page-means")
+    positions = write_table(page_vectors.page_positions(means), "page-positions")
+    return _published(page_vectors.page_entries(page_vectors.page_vectors(means, means, positions), positions))
+
+
 # Models
 
 
@@ -375,6 +418,12 @@ def _log_queries() -> dict[str, Query]:
         "page_visits_daily": pages("daily"),
         "page_visits_monthly": pages("monthly"),
         "page_visits": pages("daily", "monthly"),
+        "page_means_long": lambda spark, sf_dir: _published(_page_means(spark, sf_dir)),
+        "page_vector_entries": page_vector_entries,
+        "land_increments": land_increments,
+        "landed_days": landed_days,
+        "activity_cube": activity_cube,
+        "features_from_cubes": features_from_cubes,
         "user_features": on_features(lambda features: features),
         "feature_columns": on_features(feature_report),
         "distinct_users": on_raw(profiling.distinct_users, "userId"),

@@ -11,6 +11,9 @@ from ebbwatch.functions.columns import recency, whole_days
 from ebbwatch.operators.label import CANCEL_PAGES, churn_flag
 
 
+ACCOUNT_KEYS = ("userId", "gender", "location", "registration", "level")
+
+
 def last_interaction(clean: DataFrame) -> DataFrame:
     return clean.groupBy("userId").agg(F.max("ts").alias("last_interaction"))
 
@@ -53,12 +56,18 @@ def account_rows(clean: DataFrame, cancel_pages: Sequence[str] = CANCEL_PAGES) -
     Users with one set of attributes, the normal case, have one row. One pass over the
     log reduces it to (user, attributes, level) rows; the windows then see only those.
     """
-    user = Window.partitionBy("userId")
-    reduced = clean.groupBy("userId", "gender", "location", "registration", "level").agg(
-        F.max("ts").alias("seen"),
-        F.max(recency(F.col("ts"), F.col("itemInSession"))).alias("rank"),
-        F.max(churn_flag(cancel_pages)).alias("flag"),
+    return account_table(
+        clean.groupBy(*ACCOUNT_KEYS).agg(
+            F.max("ts").alias("seen"),
+            F.max(recency(F.col("ts"), F.col("itemInSession"))).alias("rank"),
+            F.max(churn_flag(cancel_pages)).alias("flag"),
+        )
     )
+
+
+def account_table(reduced: DataFrame) -> DataFrame:
+    """The rows of ``account_rows`` from the log reduced to one row for each value of ``ACCOUNT_KEYS``."""
+    user = Window.partitionBy("userId")
     return (
         reduced.select(
             "userId", "gender", "location", "registration",

@@ -20,10 +20,10 @@ PAGES_WITHOUT_FEATURE = ("Cancel", "CancellationConfirmation")
 
 
 def discover_pages(clean: DataFrame, limit: int = 1000) -> list[str]:
-    """Page names in the log, sorted. They become columns, so there must be few of them."""
+    """Page names in the log, sorted. They become columns, so there must be few of them; for more, see ``page_means_long``."""
     rows = clean.select("page").where(F.col("page").isNotNull()).distinct().limit(limit + 1).collect()
     if len(rows) > limit:
-        raise ValueError(f"more than {limit} distinct pages; pass the pages to use")
+        raise ValueError(f"more than {limit} distinct pages: too many columns; use page_means_long and ml.page_vectors")
     return sorted(row.page for row in rows)
 
 
@@ -46,13 +46,15 @@ def user_behaviour(
     metrics: Sequence[str] = METRICS,
     grains: Sequence[str] = GRAINS,
     month_grain: str = "month",
+    from_states: bool = False,
 ) -> DataFrame:
     """One row per user with avg_<grain>_* columns for the chosen metrics and grains.
 
-    The log is read once for the pages and once for all else; both come out hashed by user. Every
+    The rows are read once for the pages and once for all else; both come out hashed by user. Every
     step is a hash aggregate that combines on the map side, so a hot user or day never meets in
     one task before it has been reduced to sessions per period, then to periods, then to one row.
-    A page of the log that is not among ``pages`` is an error.
+    A page of the log that is not among ``pages`` is an error. With ``from_states``, the rows are
+    those of an activity cube instead of single events.
     """
     unknown = [*set(metrics) - set(METRICS), *set(grains) - set(GRAINS)]
     if unknown:
@@ -60,11 +62,12 @@ def user_behaviour(
     duration, items, sessions = (m in metrics for m in ("duration", "items", "sessions"))
     per_session: dict[str, Column] = {}
     per_period: dict[str, Column] = {}
+    first, last, position = ("start", "end", "items") if from_states else ("ts", "ts", "itemInSession")
     if duration:
-        per_session |= {"start": F.min("ts"), "end": F.max("ts")}
+        per_session |= {"start": F.min(first), "end": F.max(last)}
         per_period["duration"] = F.avg((F.col("end") - F.col("start")) * 0.001)
     if items:
-        per_session["items"] = F.max("itemInSession")
+        per_session["items"] = F.max(position)
         per_period["items"] = F.max("items")
 
     def mean(grain: str, name: str) -> Column:
@@ -80,7 +83,7 @@ def user_behaviour(
     if sessions:
         out |= {f"avg_{g}_sessions": mean(g, "sessions") for g in grains}
     if not out:
-        return _page_means(clean, pages, grains, month_grain) if "pages" in metrics else clean.select("userId").distinct()
+        return _page_means(clean, pages, grains, month_grain, from_states) if "pages" in metrics else clean.select("userId").distinct()
 
     # Each event counts towards its day and towards its month. The copies meet a hash
     # aggregate in the same stage, so only reduced rows are shuffled.
@@ -98,35 +101,50 @@ def user_behaviour(
     behaviour = _grouped(by_period, ["userId"], out)
     if "pages" not in metrics or not feature_pages(pages):
         return behaviour
-    visits = _page_means(clean, pages, grains, month_grain)
+    visits = _page_means(clean, pages, grains, month_grain, from_states)
     columns = [*before, *visits.columns[1:], *behaviour.columns[len(before):]]
     return behaviour.join(visits, "userId").select(*[F.col(f"`{c}`") for c in columns])
 
 
-def page_counts(clean: DataFrame, pages: Sequence[str]) -> DataFrame:
+def page_counts(clean: DataFrame, pages: Sequence[str] | None = None, from_states: bool = False) -> DataFrame:
     """(userId, date, page, n): visits in long form, which stays as narrow with any number of pages.
 
-    A page that is neither listed nor one without a feature is an error.
+    If pages are given, one that is neither listed nor without a feature is an error.
     """
-    counts = clean.groupBy("userId", "date", "page").agg(F.count("*").alias("n"))
+    visits = F.sum("n") if from_states else F.count("*")
+    counts = clean.groupBy("userId", "date", "page").agg(visits.alias("n"))
+    if pages is None:
+        return counts
     known = F.col("page").isNull() | F.col("page").isin(*{*pages, *PAGES_WITHOUT_FEATURE})
     message = F.concat(F.lit("page without a column: "), "page")
     return counts.withColumn("page", F.when(known, F.col("page")).otherwise(F.raise_error(message)))
 
 
-def _page_means(clean: DataFrame, pages: Sequence[str], grains: Sequence[str], month_grain: str) -> DataFrame:
-    """(userId, avg_<grain>_<page>...): mean visits over the periods with a visit, 0 for a page never seen.
+def page_means(daily: DataFrame, grains: Sequence[str] = GRAINS, month_grain: str = "month") -> DataFrame:
+    """(userId, page, grain, mean): mean visits over the periods with a visit, from the rows of ``page_counts``.
 
-    Days are counted from the log and months from the days; only rows of a user and a page become columns.
+    Days are counted from the log and months from the days. Any number of pages will do.
     """
-    daily = page_counts(clean, pages)
     monthly = daily.groupBy("userId", _month(month_grain).alias("period"), "page").agg(F.sum("n").alias("n"))
     periods = {"daily": daily, "monthly": monthly}
     parts = [
         periods[g].groupBy("userId", "page").agg(F.avg("n").alias("mean")).select("userId", "page", F.lit(g).alias("grain"), "mean")
         for g in grains
     ]
-    means = reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, parts)
+
+
+def page_means_long(clean: DataFrame, grains: Sequence[str] = GRAINS, month_grain: str = "month", from_states: bool = False) -> DataFrame:
+    """(userId, page, grain, mean) for all pages that have a feature, without a list of pages."""
+    featured = clean.where(F.col("page").isNotNull() & ~F.col("page").isin(*PAGES_WITHOUT_FEATURE))
+    return page_means(page_counts(featured, from_states=from_states), grains, month_grain)
+
+
+def _page_means(
+    clean: DataFrame, pages: Sequence[str], grains: Sequence[str], month_grain: str, from_states: bool = False
+) -> DataFrame:
+    """(userId, avg_<grain>_<page>...): 0 for a page never seen; only rows of a user and a page become columns."""
+    means = page_means(page_counts(clean, pages, from_states), grains, month_grain)
     cells = {
         f"avg_{g}_{page}": F.coalesce(F.max(F.when((F.col("grain") == g) & (F.col("page") == page), F.col("mean"))), F.lit(0.0))
         for g in grains for page in feature_pages(pages)

@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ebbwatch.operators.account import account_rows, avg_length
-from ebbwatch.operators.behaviour import discover_pages, user_behaviour
 from ebbwatch.operators.label import CANCEL_PAGES
+from ebbwatch.plans.cubes import activity_cube, features_from_cube
+from ebbwatch.session import write_table
 
 # The text columns that are indexed for the models.
 INDEXED = ("gender", "location", "valid_level")
@@ -26,20 +26,11 @@ def user_features(
 ) -> DataFrame:
     """One wide row per user: account attributes, label and behavioural means.
 
-    The log is read twice, for mostly different columns: once for the account rows and
-    once for the behaviour. Both come out hashed by user, so the only join is between
-    two user-grain frames that need no further shuffle.
+    The log is scanned once, into an activity cube; accounts, sessions and pages, and the names of the pages, all
+    come from the written cube.
     """
-    if pages is None:
-        pages = discover_pages(clean)
-    features = feature_table(account_rows(clean, cancel_pages), user_behaviour(clean, pages, month_grain=month_grain))
-    if with_avg_length:
-        features = features.join(avg_length(clean), "userId")
-    return features
-
-
-def feature_table(accounts: DataFrame, behaviour: DataFrame) -> DataFrame:
-    return accounts.join(behaviour, "userId")
+    cube = write_table(activity_cube(clean, cancel_pages), "cube")
+    return features_from_cube(cube, pages, month_grain, with_avg_length)
 
 
 def feature_columns(features: DataFrame, exclude: Sequence[str] = ()) -> list[str]:

@@ -15,11 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ebbwatch.ml import models, trees
 from ebbwatch.ml.tuning import TunedTree, tune_tree
-from ebbwatch.operators.behaviour import discover_pages
 from ebbwatch.operators.clean import clean_activity
 from ebbwatch.plans.features import user_features
 from ebbwatch.plans.modelling import ModelData, model_data
-from ebbwatch.session import prepare_session
+from ebbwatch.session import prepare_session, remove_scratch
 from ebbwatch.sources import activity_log as logs
 
 
@@ -40,7 +39,7 @@ def train(
     clean = clean_activity(logs.read_json_log(spark, log_path))
     logs.land_clean_log(clean, f"{output_path}/clean_log")
     landed = logs.read_clean_log(spark, f"{output_path}/clean_log", clean.schema)
-    features = user_features(landed, pages or discover_pages(landed))
+    features = user_features(landed, pages)
     data = model_data(features)
     logs.write_features_csv(data.features, f"{output_path}/features_csv")
 
@@ -75,9 +74,12 @@ def main(arguments: Sequence[str]) -> int:
         print(__doc__)
         return 2
     spark = SparkSession.builder.appName("ebbwatch-training").getOrCreate()
-    for name, table in train(spark, *arguments).items():
-        print(name)
-        table.show(50, truncate=False)
+    try:
+        for name, table in train(spark, *arguments).items():
+            print(name)
+            table.show(50, truncate=False)
+    finally:
+        remove_scratch(spark)
     return 0
 
 

@@ -311,6 +311,13 @@ _METRIC_ROWS = " UNION ALL ".join(
 )
 
 
+_PAGE_MEANS_LONG = " UNION ALL ".join(
+    f"""SELECT "userId", page, '{grain}' AS grain, {_r("avg(x)")} AS mean FROM (
+  SELECT "userId", {period} AS p, page, count(*) AS x FROM clean WHERE page NOT IN ('Cancel', 'CancellationConfirmation')
+  GROUP BY "userId", p, page) GROUP BY "userId", page"""
+    for grain, period in (("daily", DAY), ("monthly", MONTH))
+)
+
 _NULL_PATTERNS = """
 marked AS (SELECT list_filter([{names}], lambda x: x IS NOT NULL) AS names FROM raw),
 patterns AS (SELECT names, count(*) AS n FROM marked GROUP BY names)""".format(
@@ -426,6 +433,25 @@ FROM dur_d JOIN dur_m USING ("userId")"""
 FROM pages_d JOIN pages_m USING ("userId")"""
         ),
         "user_features": features_all,
+        "features_from_cubes": features_all,
+        "land_increments": clean_all,
+        "landed_days": _clean(
+            """SELECT CAST("date" AS VARCHAR) AS "date", CASE "sessionId" % 2 WHEN 0 THEN 'even' ELSE 'odd' END AS batch, count(*) AS n
+FROM clean WHERE "sessionId" % 2 = 0 OR day("date") <= 15 GROUP BY ALL"""
+        ),
+        "activity_cube": _clean(
+            f"""SELECT "userId", gender, location, registration, level, CAST("date" AS VARCHAR) AS "date", "sessionId", page, count(*) AS n,
+       {_r("coalesce(sum(length), 0)")} AS length_sum, count(length) AS length_n, min(ts) AS start, max(ts) AS "end", max("itemInSession") AS items,
+       max(flag) AS flag
+FROM clean GROUP BY ALL"""
+        ),
+        "page_means_long": _clean(f"""SELECT "userId", page, grain, mean FROM ({_PAGE_MEANS_LONG})"""),
+        "page_vector_entries": _clean(
+            f"""SELECT "userId", position, 'avg_' || grain || '_' || page AS feature, mean AS value
+FROM ({_PAGE_MEANS_LONG}) JOIN (
+  SELECT grain, page, row_number() OVER (ORDER BY grain, page) - 1 AS position FROM (SELECT DISTINCT grain, page FROM ({_PAGE_MEANS_LONG})))
+USING (grain, page)"""
+        ),
         "feature_columns": _features(
             " UNION ALL ".join(
                 f"SELECT {i} AS position, '{c}' AS feature, "
