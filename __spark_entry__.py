@@ -13,16 +13,16 @@ from pyspark.ml.classification import DecisionTreeClassificationModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbwatch.ml import models, page_vectors, prepare, trees
+from ebbwatch.ml import models, page_vectors, prepare, tree_columns, trees
 from ebbwatch.ml.tuning import TunedTree, tune_tree
-from ebbwatch.operators import account, behaviour, breakdown, dictionary, histogram, label, null_patterns, profiling, ranking, sampling, scoring
+from ebbwatch.operators import account, behaviour, breakdown, dictionary, histogram, label, null_patterns, profiling, ranking, sampling, scoring, sketches
 from ebbwatch.operators.clean import clean_activity, clean_strings, event_time
 from ebbwatch.plans import cubes
 from ebbwatch.plans.features import INDEXED, complete_rows, feature_report, user_counts, user_features
 from ebbwatch.plans.modelling import ModelData, model_data
 from ebbwatch.session import scratch_path, prepare_session, write_table
 from ebbwatch.sources import activity_log as logs
-from ebbwatch.sources import batches
+from ebbwatch.sources import batches, checked_log
 from ebbwatch.sources.star_tables import activity_log
 from sqlchecks.statements import statements
 
@@ -121,6 +121,50 @@ def features_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _published(logs.read_features_csv(spark, path, features.schema))
 
 
+def _log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(line, ts): the log as JSON lines."""
+    return _raw(spark, sf_dir).select(F.to_json(F.struct("*")).alias("line"), "ts")
+
+
+def scan_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of the log, some of them broken by a rule on their time: how many fit, and how many do not, by cause."""
+    lines, kind, path = _log_lines(spark, sf_dir), F.col("ts") % 97, scratch_path(spark, "log-lines")
+    broken = (
+        F.when(kind == 0, F.expr("left(line, length(line) - 5)")).when(kind == 1, "42").when(kind == 2, F.regexp_replace("line", r'"ts":\d+', '"ts":"soon"'))
+        .when(kind == 3, F.regexp_replace("line", r'"itemInSession":(\d+)', '"itemInSession":$1.5')).when(kind == 4, " ").otherwise(F.col("line"))
+    )
+    lines.select(broken.alias("value")).write.text(path)
+    good, quarantine = checked_log.land_checked(checked_log.read_lines(spark, path), scratch_path(spark, "checked-log"))
+    return checked_log.causes(quarantine).union(good.select(F.lit("none").alias("cause"), "ts").groupBy("cause").agg(F.count("ts")))
+
+
+def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of a log that lost one, got one, and has numbers and texts in a third."""
+    kind = F.col("ts") % 97
+    log = _raw(spark, sf_dir).withColumn("status", F.when(kind == 6, F.lit("ok")).otherwise(F.col("status").cast("string")))
+    line = F.to_json(F.struct(*[c for c in log.columns if c != "userAgent"], F.when(kind == 5, "phone").alias("device")))
+    line = F.regexp_replace(line, r'"status":"(\d+)"', '"status":$1')
+    return checked_log.schema_drift(log.select(line.alias("line")))
+
+
+def sketched_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users from the merged sketches of all days: whether the estimate is within its error of the exact number."""
+    log = event_time(_raw(spark, sf_dir, "userId", "ts"))
+    days = write_table(sketches.user_sketches(log), "sketches")
+    exact = log.agg(F.count_distinct("userId").alias("n_users"))
+    total = sketches.estimated_users(days).select(F.col("n_users").alias("estimate"))
+    near = F.abs(F.col("estimate") - F.col("n_users")) <= F.greatest(F.lit(1.0), F.col("n_users") * sketches.ERROR)
+    return exact.join(total).join(days.agg(F.count("*").alias("n_days"))).select("n_days", "n_users", near.alias("within_error"))
+
+
+def sketched_users_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = event_time(_raw(spark, sf_dir, "userId", "ts"))
+    exact = log.groupBy("date").agg(F.count_distinct("userId").alias("n_users"))
+    near = F.abs(F.col("estimate") - F.col("n_users")) <= F.greatest(F.lit(1.0), F.col("n_users") * sketches.ERROR)
+    days = sketches.estimated_users(sketches.user_sketches(log), "date").withColumnRenamed("n_users", "estimate")
+    return _published(exact.join(days, "date").select("date", "n_users", near.alias("within_error")))
+
+
 def land_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land the cleaned log in two batches that share days, one of them twice, and read it back."""
     clean = _clean(spark, sf_dir)
@@ -341,6 +385,29 @@ def indexed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _indexed(spark, sf_dir)[0].select("userId", "label", *[f"{c}_index" for c in INDEXED], "split")
 
 
+# A tree written by hand, over inputs of the feature table, in the form in which trees are saved:
+# (id, prediction, left child, right child, input, threshold or left categories, number of categories).
+_TREE_INPUTS = ["avg_monthly_Error", "registered_days", "valid_level_index"]
+_TREE = [
+    (0, 0.0, 1, 4, 0, [1.25], -1), (1, 0.0, 2, 3, 2, [0.0], 2), (2, 0.0, -1, -1, -1, [], -1), (3, 0.0, -1, -1, -1, [], -1),
+    (4, 1.0, 5, 8, 1, [120.0], -1), (5, 1.0, 6, 7, 0, [2.0], -1), (6, 0.0, -1, -1, -1, [], -1), (7, 1.0, -1, -1, -1, [], -1), (8, 0.0, -1, -1, -1, [], -1),
+]
+
+
+def _hand_tree(spark: SparkSession) -> DataFrame:
+    split = "split struct<featureIndex: int, leftCategoriesOrThreshold: array<double>, numCategories: int>"
+    rows = [(i, p, left, right, (x, v, n)) for i, p, left, right, x, v, n in _TREE]
+    return spark.createDataFrame(rows, f"id int, prediction double, leftChild int, rightChild int, {split}")
+
+
+def _tree_query(result) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        nodes, rows = _hand_tree(spark), _indexed(spark, sf_dir)[0]
+        return _published(result(tree_columns.scored_by_tree(rows, nodes, _TREE_INPUTS), nodes, _TREE_INPUTS))
+
+    return run
+
+
 def feature_histograms(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Ranges and counts both read the features, so these are written once.
     features = write_table(_published(_features(spark, sf_dir)), "features")
@@ -398,6 +465,10 @@ def _log_queries() -> dict[str, Query]:
         "null_by_auth": on_raw(
             lambda log: profiling.null_by_auth(log, [c for c in log.columns if c != "auth"])
         ),
+        "scan_quarantine": scan_quarantine,
+        "schema_drift": schema_drift,
+        "sketched_users": sketched_users,
+        "sketched_users_by_day": sketched_users_by_day,
         "null_patterns": on_raw(null_patterns.null_pattern_report),
         "null_implications": on_raw(null_patterns.null_implications),
         "null_groups": on_raw(null_patterns.null_groups),
@@ -502,6 +573,9 @@ def _log_queries() -> dict[str, Query]:
         "roc_curve": on_split(lambda rows: ranking.roc_curve(_rule_score(rows))),
         "value_indexes": value_indexes,
         "indexed_rows": indexed_rows,
+        "tree_scored": _tree_query(lambda scored, nodes, names: scored.select("userId", "leaf", "prediction")),
+        "tree_flow": _tree_query(tree_columns.tree_flow),
+        "tree_leaf_rules": _tree_query(tree_columns.leaf_rules),
         "model_tree": _model("decision_tree"),
         "model_logistic": _model("logistic_regression"),
         "model_logistic_default": _model("logistic_regression", maxIter=100),

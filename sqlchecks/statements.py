@@ -311,6 +311,47 @@ _METRIC_ROWS = " UNION ALL ".join(
 )
 
 
+# Five columns have values in every line, the others where they are not null.
+_DRIFT = " UNION ALL ".join(
+    [
+        f"SELECT '{c}' AS column_name, '{t}' AS declared, '{t}' AS found, count({_q(c)}) AS n, 'same' AS status FROM raw"
+        for c, t in RAW_COLUMNS if c not in ("status", "userAgent")
+    ]
+    + [
+        "SELECT 'status', 'bigint', 'mixed', count(*), 'changed' FROM raw",
+        "SELECT 'userAgent', 'string', NULL, 0, 'missing'",
+        "SELECT 'device', NULL, 'string', count(*), 'new' FROM raw WHERE ts % 97 = 5",
+    ]
+)
+
+# The hand-written tree as plain conditions.
+_TREE = """
+leaves AS (
+  SELECT *, CASE WHEN avg_monthly_Error <= 1.25 THEN CASE WHEN valid_level_index = 0 THEN 2 ELSE 3 END
+                 WHEN registered_days <= 120 THEN CASE WHEN avg_monthly_Error <= 2.0 THEN 6 ELSE 7 END ELSE 8 END AS leaf
+  FROM model_rows),
+leaf_totals AS (SELECT leaf, count(*) AS n, sum(label) AS churners FROM leaves GROUP BY leaf)"""
+
+_TREE_NODES = """(VALUES
+  (0, 'split', 'avg_monthly_Error', NULL, NULL, NULL, 0.0, [2, 3, 6, 7, 8]),
+  (1, 'split', 'valid_level_index', 0, 'left', 'avg_monthly_Error <= 1.25', 0.0, [2, 3]),
+  (2, 'leaf', 'stay', 1, 'left', 'valid_level_index in (0.0)', 0.0, [2]),
+  (3, 'leaf', 'stay', 1, 'right', 'valid_level_index not in (0.0)', 0.0, [3]),
+  (4, 'split', 'registered_days', 0, 'right', 'avg_monthly_Error > 1.25', 1.0, [6, 7, 8]),
+  (5, 'split', 'avg_monthly_Error', 4, 'left', 'registered_days <= 120.0', 1.0, [6, 7]),
+  (6, 'leaf', 'stay', 5, 'left', 'avg_monthly_Error <= 2.0', 0.0, [6]),
+  (7, 'leaf', 'churn', 5, 'right', 'avg_monthly_Error > 2.0', 1.0, [7]),
+  (8, 'leaf', 'stay', 4, 'right', 'registered_days > 120.0', 0.0, [8])
+) AS t(id, kind, display, parent, side, reason, prediction, below)"""
+
+_TREE_RULES = """(VALUES
+  (2, 2, 'avg_monthly_Error <= 1.25 and valid_level_index in (0.0)', 'stay'),
+  (3, 2, 'avg_monthly_Error <= 1.25 and valid_level_index not in (0.0)', 'stay'),
+  (6, 3, 'avg_monthly_Error > 1.25 and registered_days <= 120.0 and avg_monthly_Error <= 2.0', 'stay'),
+  (7, 3, 'avg_monthly_Error > 1.25 and registered_days <= 120.0 and avg_monthly_Error > 2.0', 'churn'),
+  (8, 2, 'avg_monthly_Error > 1.25 and registered_days > 120.0', 'stay')
+) AS t(leaf, depth, rule, class_name)"""
+
 _PAGE_MEANS_LONG = " UNION ALL ".join(
     f"""SELECT "userId", page, '{grain}' AS grain, {_r("avg(x)")} AS mean FROM (
   SELECT "userId", {period} AS p, page, count(*) AS x FROM clean WHERE page NOT IN ('Cancel', 'CancellationConfirmation')
@@ -375,6 +416,27 @@ ORDER BY ts, "userId", "sessionId", "itemInSession" LIMIT 10"""
             + ", ".join(f'count(*) FILTER (WHERE {_q(c)} IS NULL) AS "{c}_nulls"' for c, _ in RAW_COLUMNS if c != "auth")
             + " FROM raw GROUP BY auth"
         ),
+        "scan_quarantine": _raw(
+            """SELECT CASE ts % 97 WHEN 0 THEN 'not JSON' WHEN 1 THEN 'not an object' WHEN 2 THEN 'type of ts'
+       WHEN 3 THEN 'type of itemInSession' WHEN 4 THEN 'blank' ELSE 'none' END AS cause, count(*) AS n FROM raw GROUP BY cause"""
+        ),
+        "schema_drift": _raw(_DRIFT),
+        "sketched_users": _raw(
+            """SELECT count(DISTINCT CAST(make_timestamp((ts // 1000) * 1000000) AS DATE)) AS n_days,
+       count(DISTINCT "userId") AS n_users, true AS within_error FROM raw"""
+        ),
+        "sketched_users_by_day": _raw(
+            """SELECT CAST(CAST(make_timestamp((ts // 1000) * 1000000) AS DATE) AS VARCHAR) AS "date",
+       count(DISTINCT "userId") AS n_users, true AS within_error FROM raw GROUP BY "date\""""
+        ),
+        "tree_scored": f"""WITH {MODEL_ROWS},{_TREE}
+SELECT "userId", leaf, CASE leaf WHEN 7 THEN 1.0 ELSE 0.0 END::DOUBLE AS prediction FROM leaves""",
+        "tree_flow": f"""WITH {MODEL_ROWS},{_TREE}
+SELECT id, kind, display, parent, side, reason, prediction::DOUBLE AS prediction, coalesce(sum(n), 0)::BIGINT AS n_users,
+       {_r("sum(churners) / sum(n)")} AS churn_rate
+FROM {_TREE_NODES} LEFT JOIN leaf_totals ON list_contains(below, leaf) GROUP BY ALL""",
+        "tree_leaf_rules": f"""WITH {MODEL_ROWS},{_TREE}
+SELECT leaf, depth, rule, class_name, coalesce(n, 0) AS n_users, {_r("churners / n")} AS churn_rate FROM {_TREE_RULES} LEFT JOIN leaf_totals USING (leaf)""",
         "null_patterns": f"WITH {RAW},{_NULL_PATTERNS} "
         "SELECT array_to_string(names, ',') AS pattern, len(names)::INTEGER AS n_columns, n FROM patterns",
         "null_implications": f"""WITH {RAW},{_NULL_PATTERNS},
