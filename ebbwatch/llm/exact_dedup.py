@@ -8,8 +8,8 @@ that can be equal:
   offsets, and neighbouring strings mostly share theirs, so a document has one row per run of strings with one anchor.
 * Anchors that occur once are dropped. Runs with equal bytes are equal string by string.
 * The other runs are cut at fixed offsets from the anchor into pieces of 16 strings, which have 85 bytes in common.
-  Pieces that share these bytes but differ further out form a bucket: its strings are ordered by suffix sorting, which
-  shows the equal ones. A bucket over ``BUCKET`` pieces, at the edge of a very common passage, is
+  Pieces that share these bytes but differ further out form a bucket: with one symbol in place of the shared bytes, its
+  strings are ordered by suffix sorting, which shows the equal ones. A bucket over ``BUCKET`` pieces, at the edge of a very common passage, is
   resolved by its single strings instead, aggregated before they are shuffled.
 """
 
@@ -35,10 +35,10 @@ from ebbwatch.session import write_table
 SPAN = 100
 ANCHOR = 32
 PIECE = 16
-BUCKET = 256  # pieces that one task sorts at once, 30 KB
+BUCKET = 1024  # pieces that one task sorts at once, 33 KB without what they have in common
 STRETCH = 1 << 20
 COPIES = 1_000_000  # ids of whole copies that are sent to every task, 8 MB; with more of them, none is
-APART = 0xFF  # a byte that UTF-8 never has
+APART, SHARED = 0xFF, b"\xfe"  # bytes that UTF-8 never has
 
 _HIGH = np.uint64(0xFFFFFFFF00000000)
 _BYTE = np.random.default_rng(77).integers(1, 1 << 63, 256, np.uint64)
@@ -153,14 +153,16 @@ def _runs(docs: DataFrame, read: _Documents, anchors: Broadcast, span: int) -> D
     return map_batches(docs, lambda b: _batches(rows(b), schema), "anchor long, run long, doc long, first int, n int")
 
 
-def _run_bytes(docs: DataFrame, read: _Documents, wanted: Broadcast, span: int) -> DataFrame:
-    """The bytes of the wanted runs, and the place of the anchor in them: (run, place, bytes)."""
+def _run_bytes(docs: DataFrame, read: _Documents, anchors: Broadcast, wanted: Broadcast, span: int) -> DataFrame:
+    """The bytes of the wanted runs, and the place of the anchor in them: (run, place, bytes). ``anchors`` has theirs."""
     schema = pa.schema([("run", pa.int64()), ("place", pa.int32()), ("bytes", pa.binary())])
 
     def rows(batches: Batches) -> Iterator[tuple]:
         seen: set[int] = set()
         for _, text in read(batches):
-            _, place, first, last = runs(text, span)
+            anchor, place, first, last = runs(text, span)
+            near = may_hold(anchors.value, _signed(anchor))
+            place, first, last = place[near], first[near], last[near]
             parts = [text[i : j + span - 1] for i, j in zip(first.tolist(), last.tolist())]
             hashes = [_hash(p, j - i) for p, i, j in zip(parts, first.tolist(), last.tolist())]
             for k in np.flatnonzero(may_hold(wanted.value, np.array(hashes, np.int64))).tolist():
@@ -175,8 +177,8 @@ def _run_bytes(docs: DataFrame, read: _Documents, wanted: Broadcast, span: int)
 
 
 def _pieces(runs_: DataFrame, span: int) -> DataFrame:
-    """The runs' pieces: (core, piece, doc, first, n, bytes)."""
-    kinds = [("core", pa.int64()), ("piece", pa.int64()), ("doc", pa.int64()), ("first", pa.int32()), ("n", pa.int32()), ("bytes", pa.binary())]
+    """The runs' pieces: (core, piece, doc, first, n, at, bytes); the core's bytes begin ``at`` bytes into those of the piece."""
+    kinds = [("core", pa.int64()), ("piece", pa.int64()), ("doc", pa.int64()), ("first", pa.int32()), ("n", pa.int32()), ("at", pa.int32()), ("bytes", pa.binary())]
     schema = pa.schema(kinds)
 
     def rows(batches: Batches) -> Iterator[tuple]:
@@ -190,14 +192,24 @@ def _pieces(runs_: DataFrame, span: int) -> DataFrame:
                     core = place - PIECE * number
                     whole = text[lo : hi + span]
                     yield (_hash(text[core : core + span - PIECE + 1], number), _hash(whole, 1024 * number + hi - core + PIECE),
-                           doc, first + lo, hi - lo + 1, whole)
+                           doc, first + lo, hi - lo + 1, core - lo, whole)
 
     return map_batches(
         runs_.select("doc", "first", "n", "place", "bytes"), lambda b: _batches(rows(b), schema, 5_000),
-        "core long, piece long, doc long, first int, n int, bytes binary",
+        "core long, piece long, doc long, first int, n int, at int, bytes binary",
     )
 
 
+def _having(rows: DataFrame, column: str, wanted: Broadcast) -> DataFrame:
+    """The rows whose value may be wanted, before a join that decides."""
+
+    def work(batches: Batches) -> Batches:
+        for b in batches:
+            yield b.filter(pa.array(may_hold(wanted.value, b.column(column).to_numpy())))
+
+    return map_batches(rows, work, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema))
+
+
 def repeated_strings(pieces: list[tuple[int, int, int, bytes]], span: int = SPAN) -> list[tuple[int, int]]:
     """(doc, start) of the strings of a bucket that occur at an earlier (doc, start) of it; pieces are (doc, first, n, bytes)."""
     text, owner = bytes([APART]).join(p[3] for p in pieces), []
@@ -239,18 +251,19 @@ def _intervals(starts: list[tuple[int, int]]) -> Iterator[tuple[int, int, int]]:
 
 def _sorted_buckets(pieces: DataFrame, span: int) -> DataFrame:
     schema = pa.schema([("doc", pa.int64()), ("first", pa.int32()), ("last", pa.int32())])
+    shared = span - PIECE + 1  # bytes that all strings of a bucket hold, as one symbol here
 
     def rows(batches: Batches) -> Iterator[tuple]:
         core, held = None, []
         for b in batches:
-            for c, *piece in zip(*(b.column(x).to_pylist() for x in ("core", "doc", "first", "n", "bytes"))):
+            for c, doc, first, n, at, part in zip(*(b.column(x).to_pylist() for x in ("core", "doc", "first", "n", "at", "bytes"))):
                 if c != core:
-                    yield from _intervals(repeated_strings(held, span))
+                    yield from _intervals(repeated_strings(held, span - shared + 1))
                     core, held = c, []
-                held.append(tuple(piece))
-        yield from _intervals(repeated_strings(held, span))
+                held.append((doc, first, n, part[:at] + SHARED + part[at + shared :]))
+        yield from _intervals(repeated_strings(held, span - shared + 1))
 
-    sorted_ = pieces.repartition("core").sortWithinPartitions("core").select("core", "doc", "first", "n", "bytes")
+    sorted_ = pieces.repartition("core").sortWithinPartitions("core").select("core", "doc", "first", "n", "at", "bytes")
     return map_batches(sorted_, lambda b: _batches(rows(b), schema), "doc long, first int, last int")
 
 
@@ -314,10 +327,15 @@ def repeated_starts(rows: DataFrame, copies: DataFrame, span: int = SPAN, bucket
     later, others = _split(found, "anchor", "run")
     others = write_table(others, "other-runs")
     wanted = spark.sparkContext.broadcast(bloom_filter(others.select("run"), others.count()))
-    content = _run_bytes(rows, read, wanted, span).dropDuplicates(["run"])
+    near = others.select("anchor").distinct()
+    near = spark.sparkContext.broadcast(bloom_filter(near, others.count()))
+    content = _run_bytes(rows, read, near, wanted, span).dropDuplicates(["run"])
     pieces = write_table(_pieces(others.join(content, "run"), span), "pieces")
-    later_pieces, apart = _split(pieces.drop("bytes"), "core", "piece")
-    apart = apart.join(pieces.select("core", "piece", "doc", "first", "bytes"), ["core", "piece", "doc", "first"])
+    later_pieces, apart = _split(pieces.drop("bytes", "at"), "core", "piece")
+    apart = write_table(apart, "apart-kinds")
+    cores = spark.sparkContext.broadcast(bloom_filter(apart.select("core").distinct(), apart.count()))
+    content = _having(pieces.select("core", "piece", "doc", "first", "at", "bytes"), "core", cores)
+    apart = apart.join(content, ["core", "piece", "doc", "first"])
     apart = write_table(apart.dropDuplicates(["core", "piece"]), "apart")
     sorted_ = _sorted_buckets(apart.where(F.col("parts") <= bucket), span)
     many = _single_strings(apart.where(F.col("parts") > bucket), span)
