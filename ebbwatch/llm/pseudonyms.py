@@ -8,6 +8,7 @@ values get equal pseudonyms in every document, without a table of values and wit
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 import string
 from collections.abc import Iterator
 from datetime import date, timedelta
@@ -223,6 +224,8 @@ def pseudonym(kind: str, text: str, key: bytes) -> str | None:
 def found_values(text: str, key: bytes) -> list[tuple[int, int, str, str]]:
     """(first, last, kind, pseudonym) of the valid values, in order and apart; earlier kinds win an overlap."""
     taken: list[tuple[int, int, str, str]] = []
+    firsts: list[int] = []  # of the values so far, in order, and their ends
+    lasts: list[int] = []
     digits = _DIGIT.search(text)
     for kind in KINDS:
         if "@" not in text if kind == "email" else not digits and kind != "secret":
@@ -232,10 +235,13 @@ def found_values(text: str, key: bytes) -> list[tuple[int, int, str, str]]:
             first, whole = m.span(1 if kind == "secret" else 0)
             at = m.start() + 1  # a value may begin within a match that is not one
             for last in _ends(kind, text, first, whole):
-                if any(first < y and x < last for x, y, _, _ in taken):
+                place = bisect_left(firsts, last)  # values that begin before this one's end
+                if place and lasts[place - 1] > first:
                     continue
                 if (name := pseudonym(kind, text[first:last], key)) is not None:
                     taken.append((first, last, kind, name))
+                    firsts.insert(place, first)
+                    lasts.insert(place, last)
                     at = last
                     break
     return sorted(taken)

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -89,3 +91,12 @@ def test_dates_keep_their_digits():
 def test_a_following_value_is_not_taken_for_a_group():
     values = found_values("call +44 20 7946 0958 2000-01-02 or +1 415 555 2671 20261", KEY)
     assert [v[2] for v in values] == ["phone", "date", "phone"] and values[2][:2] == (36, 51)
+
+
+def test_many_values_in_one_text():
+    """The time to find values grows with their number, not with its square."""
+    text = " ".join(f"user{i}@example.org 10.0.{i % 256}.{i // 256 % 256}" for i in range(50_000))
+    began = time.perf_counter()
+    values = found_values(text, KEY)
+    assert time.perf_counter() - began < 40
+    assert len(values) == 100_000 and all(a[1] <= b[0] for a, b in zip(values, values[1:]))
