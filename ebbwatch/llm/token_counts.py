@@ -10,12 +10,14 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbwatch.llm.common import Batches, map_batches, named, read_table, text_blocks, texts_of
+from ebbwatch.llm.common import Batches, excerpt, map_batches, named, read_table, text_blocks, texts_of
 from ebbwatch.llm.pretokens import VOCABULARY, encode_apart, pretokens, tokenizer
 
 TABLE_SLOTS = 1 << 17  # of 9 bytes each: the broadcast has 1.2 MB at any input size
 SAMPLE_DOCS = 2_000  # texts that say which pre-tokens are frequent; they do not affect any count
+SAMPLE_BYTES = 16 << 10  # of one of these texts: with the above, 32 MB reach the driver at most
 CACHE_ENTRIES = 400_000  # of a worker, about 50 MB; a full cache starts anew
+CACHED_CHARS = 64  # longer pre-tokens are forgotten after their block of texts
 
 _CACHES: dict[str, dict[str, int]] = {}  # of this worker process, by vocabulary
 
@@ -78,10 +80,14 @@ def _lookup(vocabulary: str, table: LengthTable, most: int):
                 new = here
             learn(new)
         get, library = known.__getitem__, tokenizer(vocabulary)
-        return [
+        found = [
             len(library.encode(t, add_special_tokens=False).ids) if s is None else sum(map(get, s))
             for t, s in zip(texts, splits)
         ]
+        for p in new:
+            if len(p) > CACHED_CHARS:
+                del known[p]
+        return found
 
     return counts
 
@@ -93,12 +99,12 @@ def token_counts(
     """Rows (id, n_bytes, n_tokens, over_limit), one per input row, repeated rows included.
 
     Null and empty texts have no tokens. The counts are those of the library for whole texts of any
-    length. A sample of at most ``sample_docs`` texts fills the broadcast table; it decides
-    the speed only. An empty input gives no rows.
+    length. A sample of at most ``sample_docs`` texts, of long ones pieces of ``SAMPLE_BYTES`` in all, fills the
+    broadcast table; it decides the speed only. An empty input gives no rows.
     """
     rows = named(docs, id_col, text_col)
     share = min(1.0, 2 * sample_docs / max(1, rows.count()))
-    sample = rows.select(text_col).sample(share, seed=7).limit(sample_docs).toArrow().column(0)
+    sample = rows.select(excerpt(text_col, SAMPLE_BYTES).alias("text")).sample(share, seed=7).limit(sample_docs).toArrow().column(0)
     sent = rows.sparkSession.sparkContext.broadcast(frequent_lengths(texts_of(sample), vocabulary))
 
     def work(batches: Batches) -> Batches:
