@@ -4,9 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_right
 from collections.abc import Iterator
-from itertools import accumulate
 
 import ahocorasick
 import pyarrow as pa
@@ -16,12 +14,12 @@ from pyspark.sql import functions as F
 from ebbwatch.llm.common import Batches, map_batches, named, read_table, text_blocks, texts_of
 
 WINDOW_WORDS = 10
-BLOCK_BYTES = 8 << 20  # of benchmark text in one automaton
+BLOCK_BYTES = 8 << 20  # of benchmark text in one automaton, which takes some 200 MB of a worker
 
 # The words of the contract, after lower-casing A-Z.
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _LOWER = bytes(range(256)).lower()  # of bytes: A-Z only
-_AUTOMATA: dict[str, ahocorasick.Automaton] = {}  # of this worker process: the latest one
+_AUTOMATA: dict[str, Matcher] = {}  # of this worker process: the latest one
 
 
 def lowered(text: str) -> str:
@@ -29,31 +27,69 @@ def lowered(text: str) -> str:
     return text.lower() if text.isascii() else text.encode().translate(_LOWER).decode()
 
 
-def automaton(items: list[tuple], window: int = WINDOW_WORDS) -> ahocorasick.Automaton:
-    """Matches every window of the items' words between single spaces; a value lists the items that have it."""
-    owners: dict[tuple[str, ...], set] = {}
-    for item, text in items:
-        words = WORD.findall(lowered(text or ""))
-        for i in range(max(1, len(words) - window + 1) if words else 0):
-            owners.setdefault(tuple(words[i : i + window]), set()).add(item)
-    found = ahocorasick.Automaton()
-    for words, having in owners.items():
-        found.add_word(f" {' '.join(words)} ", (len(words), sorted(having, key=str)))
-    if owners:
-        found.make_automaton()
-    return found
-
-
-def word_hits(words: list[str], machine: ahocorasick.Automaton) -> tuple[list[tuple[int, int]], set]:
-    """Runs [first, last) of words inside occurrences, and the items that occur."""
-    ends, runs, items = None, [], set()
-    for at, (n, having) in machine.iter(f" {' '.join(words)} "):
-        if ends is None:  # where each word's trailing space is
-            ends = list(accumulate(len(w) + 1 for w in words))
-        last = bisect_right(ends, at)
-        runs.append((last - n, last))
-        items.update(having)
-    return merged(runs), items
+class Matcher:
+    """Finds the windows of a block of items in the words of a text.
+
+    The automaton reads words as numbers. Its patterns are the items' words in consecutive pieces of half a window: each window
+    holds a whole piece, and every word is in one piece only, so the automaton has a node per word at most. From a piece that occurs,
+    the match is followed to both sides; as many equal words as a window has, or as a shorter item has, make it an occurrence.
+    """
+
+    def __init__(self, items: list[tuple], window: int = WINDOW_WORDS) -> None:
+        self.numbers: dict[str, int] = {}  # 0 is a word of no item
+        owners: dict[tuple[int, ...], set] = {}  # equal items are one text
+        for item, text in items:
+            words = WORD.findall(lowered(text or ""))
+            if words:
+                owners.setdefault(tuple(self.numbers.setdefault(w, len(self.numbers) + 1) for w in words), set()).add(item)
+        self.texts, self.owners = list(owners), list(owners.values())
+        self.needed = [min(window, len(t)) for t in self.texts]
+        step = (window + 1) // 2
+        places: dict[tuple[int, ...], dict[int, list[int]]] = {}
+        for number, text in enumerate(self.texts):
+            size = step if len(text) >= window else len(text)
+            for at in range(0, len(text) - size + 1, size):
+                places.setdefault(text[at : at + size], {}).setdefault(number, []).append(at)
+        self.machine = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+        for piece, having in places.items():
+            self.machine.add_word(piece, (len(piece), having))
+        if places:
+            self.machine.make_automaton()
+
+    def word_hits(self, words: list[str]) -> tuple[list[tuple[int, int]], set]:
+        """Runs [first, last) of words inside occurrences, and the items that occur."""
+        if not self.texts:
+            return [], set()
+        get = self.numbers.get
+        line = tuple([get(w, 0) for w in words])
+        runs, items = [], set()
+        covered: dict[int, tuple[int, int]] = {}  # the latest run of each text
+        for end, (size, having) in self.machine.iter(line):
+            first, last = end - size + 1, end + 1
+            for number, places in having.items():
+                needed = self.needed[number]
+                # All windows that hold this piece; nothing is new if they are in a run of this text.
+                low, high = max(0, last - needed), min(len(line), first + needed)
+                for at in places:
+                    x, y = covered.get(number, (0, 0))
+                    if x <= low and high <= y:
+                        break
+                    run = self._followed(line, first, last, self.texts[number], at)
+                    if run[1] - run[0] >= needed:
+                        runs.append(run)
+                        items |= self.owners[number]
+                        covered[number] = (min(x, run[0]), max(y, run[1])) if y and run[0] <= y else run
+        return merged(runs), items
+
+    @staticmethod
+    def _followed(line: tuple[int, ...], first: int, last: int, text: tuple[int, ...], at: int) -> tuple[int, int]:
+        """The longest run around [first, last) that equals the text around ``at``."""
+        i, j = at - 1, at + last - first
+        while first and i >= 0 and line[first - 1] == text[i]:
+            first, i = first - 1, i - 1
+        while last < len(line) and j < len(text) and line[last] == text[j]:
+            last, j = last + 1, j + 1
+        return first, last
 
 
 def merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -68,7 +104,7 @@ def merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def _blocks(benchmark: DataFrame, item_col: str, text_col: str, most: int) -> Iterator[list[tuple]]:
-    """The items in blocks of about ``most`` bytes; the driver holds one block at a time."""
+    """The items in blocks of about ``most`` bytes, or one longer item; all blocks of a scan are in the driver until it has run."""
     block, size = [], 0
     for item, text in named(benchmark.where(F.col(text_col).isNotNull()), item_col, text_col).toLocalIterator():
         block.append((item, text))
@@ -90,7 +126,8 @@ def contamination(
     text, both as arrays of (first, last) with the last left out. A benchmark is taken in blocks with an
     automaton each, which bounds what is broadcast; each block is a step of the same scan, without a shuffle.
     Null and empty texts have no words. An item without words occurs nowhere; equal items all
-    count. A benchmark without rows leaves every document clean.
+    count, one without an id under the name None. A benchmark without rows leaves every document clean. Repeated documents are rows
+    of their own. A text is read whole, in time that grows with its words.
     """
     columns = list(dict.fromkeys([id_col, text_col, *keep]))
     runs = "cast(array() as array<struct<first: int, last: int>>)"
@@ -110,7 +147,7 @@ def _marker(block: list[tuple], text_col: str, window: int):
     def work(batches: Batches) -> Batches:
         if key not in _AUTOMATA:
             _AUTOMATA.clear()
-            _AUTOMATA[key] = automaton(block, window)
+            _AUTOMATA[key] = Matcher(block, window)
         machine = _AUTOMATA[key]
         for b in (part for whole in batches for part in text_blocks(whole, text_col)):
             new = {n: b.column(n).to_pylist() for n in ("n_words", "word_runs", "spans", "items")}
@@ -118,7 +155,7 @@ def _marker(block: list[tuple], text_col: str, window: int):
                 text = lowered(text)
                 words = WORD.findall(text)
                 new["n_words"][i] = len(words)
-                hits, having = word_hits(words, machine) if len(machine) else ([], ())
+                hits, having = machine.word_hits(words)
                 if hits:
                     hits = merged(hits + [(r["first"], r["last"]) for r in new["word_runs"][i]])
                     at = [m.span() for m in WORD.finditer(text)]
