@@ -4,8 +4,11 @@ A tree is a sorted array of long bit strings, one per vector, from random hyperp
 tree to its longest matching prefix, and ascends in all trees at once, a bit at a time, until the
 ranges that share the prefix hold enough entries; what lies in them is scored exactly.
 
-The index is cut into blocks of bounded size, so a block's forest fits a task, and the share of a block that
-is scored does not depend on the size of the corpus: neither does the recall.
+The index is cut into blocks of bounded size, so a block's forests fit a task, and neither the share of a block that
+is scored nor the recall depends on the size of the corpus. Within a block, vectors of about one length are a shell with
+a forest of its own, and shells are searched from the longest vectors on: once a query's k-th score is above what the
+length of a shell allows, the shell and all after it are left out, which loses nothing. How far the ascent goes is measured: in each shell,
+some of the queries are compared with all its vectors, and the least share is taken that finds enough of their best.
 """
 
 from __future__ import annotations
@@ -19,7 +22,13 @@ from ebbwatch.llm.common import named, read_table
 
 TREES = 32
 BITS = 32
-SHARE = 0.7  # entries that the ascent must gather over all trees, as a share of the block's vectors
+# Entries that the ascent must gather over all trees, as shares of the shell's vectors: the least that reaches the
+# recall on the probes is taken, and if none does, all vectors are scored.
+SHARES = (0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.85, 1.0, 1.5)
+RECALL = 0.96
+PROBES = 48  # queries
+SHELL_RATIO = 1.25  # of the lengths in a shell, if it has more than SHELL_ROWS vectors
+SHELL_ROWS = 512
 BLOCK_ROWS = 8_192
 QUERY_ROWS = 1_024
 SEED = 11
@@ -72,24 +81,85 @@ class PrefixForest:
         return found
 
 
+class Shell:
+    """Vectors of about one length, in rows that their forest knows."""
+
+    def __init__(self, rows: np.ndarray, vectors: np.ndarray, ids: np.ndarray):
+        self.rows, self.ids, self.vectors = rows, ids[rows], vectors[rows]
+        self.most = float(np.linalg.norm(self.vectors, axis=1).max(initial=0.0))
+        self.forest = PrefixForest(self.vectors) if len(rows) > SHELL_ROWS // 2 else None
+        self.share: float | None = None  # all
+
+    def fit(self, query_ids: np.ndarray, queries: np.ndarray, k: int, target: float = RECALL) -> None:
+        """Take the least share that finds ``target`` of the best k of some queries."""
+        if self.forest is None:
+            return
+        at = np.unique(np.linspace(0, len(queries) - 1, min(PROBES, len(queries))).astype(int))
+        scores = self.vectors @ queries[at].T
+        scores[self.ids[:, None] == query_ids[at]] = -np.inf
+        best = min(k, len(scores) - 1)
+        bars = np.partition(scores, -best, axis=0)[-best]
+        for share in SHARES:
+            near = self.forest.candidates(queries[at], int(share * len(self.rows)), k + 1)
+            hits = sum(min(best, int((scores[rows, i] >= bars[i]).sum())) for i, rows in enumerate(near))
+            if hits >= target * best * len(at):
+                self.share = share
+                return
+
+    def candidates(self, queries: np.ndarray, k: int) -> list[np.ndarray]:
+        if self.forest is None or self.share is None:
+            return [np.arange(len(self.rows))] * len(queries)
+        return self.forest.candidates(queries, int(self.share * len(self.rows)), k + 1)  # the query itself may be among them
+
+
+def shells_of(ids: np.ndarray, vectors: np.ndarray) -> list[Shell]:
+    """The vectors by falling length, cut where the length has fallen by the ratio and the shell is large enough."""
+    norms = np.linalg.norm(vectors, axis=1)
+    order = np.argsort(-norms, kind="stable")
+    out, first = [], 0
+    while first < len(order):
+        last = int(np.searchsorted(-norms[order], -norms[order[first]] / SHELL_RATIO, "right"))
+        last = max(last, first + SHELL_ROWS)
+        if len(order) - last < SHELL_ROWS // 2:
+            last = len(order)
+        out.append(Shell(order[first:last], vectors, ids))
+        first = last
+    return out
+
+
 def search_block(
-    ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int, share: float = SHARE,
+    ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int, scored: list[int] | None = None,
 ) -> list[tuple[int, int, float]]:
-    """The k best (query, row, score) of a block for each query; ties go to the smaller id."""
-    forest, out = PrefixForest(vectors), []
-    # Bounds the forest's tables and strings for many queries at once.
-    for at in range(0, len(queries), 512):
-        part = queries[at : at + 512]
-        near = forest.candidates(part, int(share * len(ids)), k + 1)  # the query itself may be among them
-        for query, point, rows in zip(query_ids[at : at + 512], part, near):
-            rows = rows[ids[rows] != query]
-            scores = (vectors[rows] * point).sum(axis=1)  # the same sum for equal rows, wherever they are
-            if len(rows) > k:
-                top = scores >= np.partition(scores, -k)[-k]
-                rows, scores = rows[top], scores[top]
-            best = np.lexsort((ids[rows], -scores))[:k]
-            out += zip([query] * len(best), ids[rows[best]], scores[best])
-    return out
+    """The k best (query, row, score) of a block for each query; ties go to the smaller id.
+
+    ``scored`` gets the number of vectors that each query was compared with.
+    """
+    best = [(np.zeros(0, np.int64), np.zeros(0))] * len(queries)
+    bars, counts = np.full(len(queries), -np.inf), np.zeros(len(queries), np.int64)
+    lengths = np.linalg.norm(queries, axis=1) * (1 + 1e-9)  # sums are rounded
+    for shell in shells_of(ids, vectors):
+        open_ = np.flatnonzero(lengths * shell.most >= bars)
+        if not len(open_):
+            break
+        shell.fit(query_ids[open_], queries[open_], k)
+        # Bounds the strings of many queries at once.
+        for at in range(0, len(open_), 512):
+            part = open_[at : at + 512]
+            for q, rows in zip(part, shell.candidates(queries[part], k)):
+                counts[q] += len(rows)
+                rows = rows[shell.ids[rows] != query_ids[q]]
+                scores = (shell.vectors[rows] * queries[q]).sum(axis=1)  # the same sum for equal rows, wherever they are
+                near, scores = np.concatenate([best[q][0], shell.ids[rows]]), np.concatenate([best[q][1], scores])
+                if len(near) > k:
+                    top = scores >= np.partition(scores, -k)[-k]
+                    near, scores = near[top], scores[top]
+                order = np.lexsort((near, -scores))[:k]
+                best[q] = near[order], scores[order]
+                if len(order) == k:
+                    bars[q] = scores[order[-1]]
+    if scored is not None:
+        scored += counts.tolist()
+    return [(query, i, x) for query, (near, scores) in zip(query_ids, best) for i, x in zip(near, scores)]
 
 
 def nearest(
@@ -103,7 +173,7 @@ def nearest(
     with one id count once, the least vector of them. A query with no candidate has no row.
 
     Every query meets every block, a part of the queries and a block to a task: the work grows with the
-    product of both, as recall on vectors without clusters requires, and the largest task does not grow.
+    product of both, as recall on vectors without clusters requires, and the largest task does not grow. Ids must read as longs.
     """
     points, asked = _valid(vectors, id_col, vector_col), _valid(queries, id_col, vector_col)
     sizes = points.groupBy("length").agg(F.countDistinct("id").alias("n")).collect()  # a row per length of vector

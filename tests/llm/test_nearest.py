@@ -1,6 +1,7 @@
 import numpy as np
+import pytest
 
-from ebbwatch.llm.nearest import nearest
+from ebbwatch.llm.nearest import BLOCK_ROWS, nearest, search_block
 
 
 def table(spark, rows):
@@ -36,3 +37,37 @@ def test_edges(spark):
     got = nearest(vectors, vectors.where("vec_id % 20 = 0")).collect()
     assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == [(0, 1, 7, 2.0), (0, 2, 8, 2.0), (20, 1, 9, 9.0)]
     assert nearest(vectors.limit(0), vectors.limit(0)).count() == 0
+
+
+def clouds(rng, kind, n, dims):
+    points = rng.standard_normal((n, dims))
+    if kind == "unit":
+        points /= np.linalg.norm(points, axis=1, keepdims=True)
+    if kind == "log-normal":
+        points *= rng.lognormal(size=(n, 1))
+    if kind == "clusters":
+        centers = rng.standard_normal((n // 60, dims)) * 4
+        points = centers[rng.integers(0, len(centers), n)] + 0.5 * points
+    return points
+
+
+@pytest.mark.parametrize("dims", [64, 128, 384])
+@pytest.mark.parametrize("kind", ["unit", "gaussian", "log-normal", "clusters"])
+def test_recall_of_a_registered_block(kind, dims):
+    """A block of the registered size against brute force; the shares are those that README gives."""
+    points = clouds(np.random.default_rng(dims), kind, BLOCK_ROWS, dims)
+    ids = np.arange(BLOCK_ROWS) * 3
+    asked = np.arange(0, BLOCK_ROWS, 80)
+    scored = []
+    found = {}
+    for query, i, _ in search_block(ids, points, ids[asked], points[asked], 20, scored):
+        found.setdefault(query, []).append(i)
+    scores = points[asked] @ points.T
+    scores[np.arange(len(asked)), asked] = -np.inf
+    truth = np.argsort(-scores, axis=1)[:, :20] * 3
+    recall = np.mean([len({*t} & {*found[q]}) / 20 for q, t in zip(ids[asked], truth)])
+    share = sum(scored) / len(asked) / BLOCK_ROWS
+    print(f"{kind} {dims}: recall {recall:.3f}, share scored {share:.2f}")
+    assert recall >= 0.9
+    if kind == "clusters":
+        assert share < 0.3
