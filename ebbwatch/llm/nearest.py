@@ -24,7 +24,7 @@ TREES = 32
 BITS = 32
 # Entries that the ascent must gather over all trees, as shares of the shell's vectors: the least that reaches the
 # recall on the probes is taken, and if none does, all vectors are scored.
-SHARES = (0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.85, 1.0, 1.5)
+SHARES = (0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.85, 1.0, 1.25, 1.5, 2.0)
 RECALL = 0.96
 PROBES = 48  # queries
 SHELL_RATIO = 1.25  # of the lengths in a shell, if it has more than SHELL_ROWS vectors
@@ -59,6 +59,7 @@ class PrefixForest:
         strings = self._strings(np.column_stack([queries / norms, np.zeros(len(queries))]))
         shape = (self.trees, len(queries))
         low, high = np.zeros(shape, np.int64), np.full(shape, self.sorted.shape[1], np.int64)
+        below = np.zeros((2, *shape), np.int64)  # ranges of the level before, a bit longer
         going = np.arange(len(queries))
         for level in range(self.bits, 0, -1):  # from the longest prefix upwards
             step = np.uint64(1) << np.uint64(self.bits - level)
@@ -67,8 +68,14 @@ class PrefixForest:
             hi = np.stack([np.searchsorted(s, f) for s, f in zip(self.sorted, first + step)])
             enough = (hi - lo).sum(axis=0) >= wanted
             done = going[enough]
-            low[:, done], high[:, done] = lo[:, enough], hi[:, enough]
+            # Of the last level, only as many trees as it takes ascend.
+            had = below[1][:, done] - below[0][:, done]
+            more = (hi - lo)[:, enough] - had
+            rises = had.sum(axis=0) + np.cumsum(more, axis=0) - more < wanted
+            low[:, done] = np.where(rises, lo[:, enough], below[0][:, done])
+            high[:, done] = np.where(rises, hi[:, enough], below[1][:, done])
             going = going[~enough]
+            below[0][:, going], below[1][:, going] = lo[:, ~enough], hi[:, ~enough]
             if not len(going):
                 break
         found, marks = [], np.zeros(self.sorted.shape[1], bool)
