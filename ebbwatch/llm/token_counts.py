@@ -104,7 +104,7 @@ def token_counts(
     """
     rows = named(docs, id_col, text_col)
     share = min(1.0, 2 * sample_docs / max(1, rows.count()))
-    sample = rows.select(excerpt(text_col, SAMPLE_BYTES).alias("text")).sample(share, seed=7).limit(sample_docs).toArrow().column(0)
+    sample = rows.sample(share, seed=7).select(excerpt(text_col, SAMPLE_BYTES).alias("text")).limit(sample_docs).toArrow().column(0)
     sent = rows.sparkSession.sparkContext.broadcast(frequent_lengths(texts_of(sample), vocabulary))
 
     def work(batches: Batches) -> Batches:
