@@ -9,18 +9,19 @@ that can be equal:
 * Anchors that occur once are dropped. Runs with equal bytes are equal string by string.
 * The other runs are cut at fixed offsets from the anchor into pieces of 16 strings, which have 85 bytes in common.
   Pieces that share these bytes but differ further out form a bucket: with one symbol in place of the shared bytes, its
-  strings are ordered by suffix sorting, which shows the equal ones. A bucket over ``BUCKET`` pieces, at the edge of a very common passage, is
-  resolved by its single strings instead, aggregated before they are shuffled.
+  strings are ordered by suffix sorting, which shows the equal ones.
+* A bucket over ``BUCKET`` pieces, at the edge of a very common passage, is split by further bytes: its pieces are cut into shorter ones, which have
+  more bytes in common, and these form buckets in the same way, down to pieces of one string.
+
+Whole copies are left out before the search, as all their strings start in the document with the smallest id.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,10 +35,11 @@ from ebbwatch.session import write_table
 
 SPAN = 100
 ANCHOR = 32
-PIECE = 16
+PIECE = 16  # strings
+SHORTER = 4  # times shorter are the pieces of a bucket that is split
 BUCKET = 1024  # pieces that one task sorts at once, 33 KB without what they have in common
 STRETCH = 1 << 20
-COPIES = 1_000_000  # ids of whole copies that are sent to every task, 8 MB; with more of them, none is
+COPIES = 1_000_000  # ids of whole copies that are sent to every task, 8 MB; more of them are joined
 APART, SHARED = 0xFF, b"\xfe"  # bytes that UTF-8 never has
 
 _HIGH = np.uint64(0xFFFFFFFF00000000)
@@ -79,30 +81,11 @@ def _signed(value: np.ndarray) -> np.ndarray:
     return value.view(np.int64)
 
 
-class _Documents:
-    """Reads (id, bytes) from batches, without texts that a smaller id has as well: those go as a whole.
-
-    The ids of such copies are at hand if they are few enough to send. If not, a task leaves out those that it
-    can tell by itself, and the others resolve like all repeats.
-    """
-
-    def __init__(self, copies: Broadcast):
-        self.copies = copies
-
-    def __call__(self, batches: Batches) -> Iterator[tuple[int, bytes]]:
-        seen: dict[bytes, int] = {}
-        copies = self.copies.value
-        for b in (part for whole in batches for part in text_blocks(whole, "text")):
-            ids = pc.fill_null(b.column("id"), 0).to_numpy()
-            left_out = np.isin(ids, copies) if copies is not None and len(copies) else np.zeros(len(ids), bool)
-            for doc, text, out in zip(b.column("id").to_pylist(), b.column("text").cast(pa.large_binary()).to_pylist(), left_out):
-                if doc is None or not text or out:
-                    continue
-                if copies is None:
-                    key = hashlib.blake2b(text, digest_size=12).digest()
-                    if seen.get(key, doc) < doc:
-                        continue
-                    seen[key] = doc
+def _texts(batches: Batches) -> Iterator[tuple[int, bytes]]:
+    """(id, bytes) of the texts."""
+    for b in (part for whole in batches for part in text_blocks(whole, "text")):
+        for doc, text in zip(b.column("id").to_pylist(), b.column("text").cast(pa.large_binary()).to_pylist()):
+            if doc is not None and text:
                 yield doc, text
 
 
@@ -124,12 +107,12 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 # The steps over the texts
 
 
-def _anchors(docs: DataFrame, read: _Documents, span: int) -> DataFrame:
+def _anchors(docs: DataFrame, span: int) -> DataFrame:
     """The hash of every run's anchor."""
 
     def work(batches: Batches) -> Batches:
         held: list[np.ndarray] = []
-        for _, text in read(batches):
+        for _, text in _texts(batches):
             held.append(runs(text, span)[0])
             if sum(map(len, held[-64:])) + len(held) > STRETCH // 16:
                 yield pa.RecordBatch.from_arrays([pa.array(_signed(np.concatenate(held)))], ["anchor"])
@@ -139,12 +122,12 @@ def _anchors(docs: DataFrame, read: _Documents, span: int) -> DataFrame:
     return map_batches(docs, work, "anchor long")
 
 
-def _runs(docs: DataFrame, read: _Documents, anchors: Broadcast, span: int) -> DataFrame:
+def _runs(docs: DataFrame, anchors: Broadcast, span: int) -> DataFrame:
     """The runs whose anchor may occur more than once: (anchor, run, doc, first, n)."""
     schema = pa.schema([("anchor", pa.int64()), ("run", pa.int64()), ("doc", pa.int64()), ("first", pa.int32()), ("n", pa.int32())])
 
     def rows(batches: Batches) -> Iterator[tuple]:
-        for doc, text in read(batches):
+        for doc, text in _texts(batches):
             anchor, _, first, last = runs(text, span)
             keep = may_hold(anchors.value, _signed(anchor))
             for a, i, j in zip(_signed(anchor[keep]).tolist(), first[keep].tolist(), last[keep].tolist()):
@@ -153,13 +136,13 @@ def _runs(docs: DataFrame, read: _Documents, anchors: Broadcast, span: int) -> D
     return map_batches(docs, lambda b: _batches(rows(b), schema), "anchor long, run long, doc long, first int, n int")
 
 
-def _run_bytes(docs: DataFrame, read: _Documents, anchors: Broadcast, wanted: Broadcast, span: int) -> DataFrame:
+def _run_bytes(docs: DataFrame, anchors: Broadcast, wanted: Broadcast, span: int) -> DataFrame:
     """The bytes of the wanted runs, and the place of the anchor in them: (run, place, bytes). ``anchors`` has theirs."""
     schema = pa.schema([("run", pa.int64()), ("place", pa.int32()), ("bytes", pa.binary())])
 
     def rows(batches: Batches) -> Iterator[tuple]:
         seen: set[int] = set()
-        for _, text in read(batches):
+        for _, text in _texts(batches):
             anchor, place, first, last = runs(text, span)
             near = may_hold(anchors.value, _signed(anchor))
             place, first, last = place[near], first[near], last[near]
@@ -176,26 +159,27 @@ def _run_bytes(docs: DataFrame, read: _Documents, anchors: Broadcast, wanted: Br
 # Pieces and buckets
 
 
-def _pieces(runs_: DataFrame, span: int) -> DataFrame:
-    """The runs' pieces: (core, piece, doc, first, n, at, bytes); the core's bytes begin ``at`` bytes into those of the piece."""
+def _pieces(rows: DataFrame, span: int, most: int) -> DataFrame:
+    """Pieces of ``most`` strings: (core, piece, doc, first, n, at, bytes); the core's bytes begin ``at`` bytes into those of the piece.
+
+    ``rows`` has runs or longer pieces: (doc, first, n, place, bytes), with what their strings have in common from ``place`` on.
+    """
     kinds = [("core", pa.int64()), ("piece", pa.int64()), ("doc", pa.int64()), ("first", pa.int32()), ("n", pa.int32()), ("at", pa.int32()), ("bytes", pa.binary())]
     schema = pa.schema(kinds)
 
-    def rows(batches: Batches) -> Iterator[tuple]:
+    def cut(batches: Batches) -> Iterator[tuple]:
         for b in batches:
             for doc, first, n, place, text in zip(*(b.column(c).to_pylist() for c in ("doc", "first", "n", "place", "bytes"))):
-                # A string at s has its anchor at place - s; pieces are ranges of that.
-                for number in range((place - n + 1) // PIECE, place // PIECE + 1):
-                    lo, hi = max(0, place - PIECE * number - PIECE + 1), min(n - 1, place - PIECE * number)
-                    if lo > hi:
-                        continue
-                    core = place - PIECE * number
+                # A string at s holds the place place - s bytes from its start; pieces are ranges of that.
+                for number in range((place - n + 1) // most, place // most + 1):
+                    core = place - most * number
+                    lo, hi = max(0, core - most + 1), min(n - 1, core)
                     whole = text[lo : hi + span]
-                    yield (_hash(text[core : core + span - PIECE + 1], number), _hash(whole, 1024 * number + hi - core + PIECE),
+                    yield (_hash(text[core : core + span - most + 1], number), _hash(whole, 1024 * number + hi - core + most),
                            doc, first + lo, hi - lo + 1, core - lo, whole)
 
     return map_batches(
-        runs_.select("doc", "first", "n", "place", "bytes"), lambda b: _batches(rows(b), schema, 5_000),
+        rows.select("doc", "first", "n", "place", "bytes"), lambda b: _batches(cut(b), schema, 5_000),
         "core long, piece long, doc long, first int, n int, at int, bytes binary",
     )
 
@@ -249,9 +233,10 @@ def _intervals(starts: list[tuple[int, int]]) -> Iterator[tuple[int, int, int]]:
         yield first[0], first[1], last[1] + 1
 
 
-def _sorted_buckets(pieces: DataFrame, span: int) -> DataFrame:
+def _sorted_buckets(pieces: DataFrame, span: int, most: int) -> DataFrame:
+    """The strings of the buckets that occur earlier in theirs; a bucket is sorted in one task, and has a bounded number of pieces."""
     schema = pa.schema([("doc", pa.int64()), ("first", pa.int32()), ("last", pa.int32())])
-    shared = span - PIECE + 1  # bytes that all strings of a bucket hold, as one symbol here
+    shared = span - most + 1  # bytes that all strings of a bucket hold, as one symbol here
 
     def rows(batches: Batches) -> Iterator[tuple]:
         core, held = None, []
@@ -267,25 +252,6 @@ def _sorted_buckets(pieces: DataFrame, span: int) -> DataFrame:
     return map_batches(sorted_, lambda b: _batches(rows(b), schema), "doc long, first int, last int")
 
 
-def _single_strings(pieces: DataFrame, span: int) -> DataFrame:
-    """Repeated strings of the large buckets: every string is a row, joined by its hash."""
-    schema = pa.schema([("core", pa.int64()), ("string", pa.int64()), ("doc", pa.int64()), ("first", pa.int32())])
-
-    def rows(batches: Batches) -> Iterator[tuple]:
-        for b in batches:
-            for core, doc, first, n, part in zip(*(b.column(c).to_pylist() for c in ("core", "doc", "first", "n", "bytes"))):
-                for i in range(n):
-                    yield core, _hash(part[i : i + span], 0), doc, first + i
-
-    strings = map_batches(
-        pieces.select("core", "doc", "first", "n", "bytes"), lambda b: _batches(rows(b), schema), "core long, string long, doc long, first int"
-    )
-    strings = write_table(strings, "strings")
-    least = strings.groupBy("core", "string").agg(F.min(_place()).alias("least"), F.count("*").alias("copies"))
-    later = strings.join(least.where("copies > 1"), ["core", "string"]).where(_place() != F.col("least"))
-    return later.select("doc", "first", (F.col("first") + 1).alias("last"))
-
-
 # A document and a start in it as one number in the same order; its fixed width lets Spark aggregate by hashing.
 
 
@@ -313,33 +279,47 @@ def _split(rows: DataFrame, bucket: str, kind: str) -> tuple[DataFrame, DataFram
     return later.select("doc", "first", (F.col("first") + F.col("n")).cast("int").alias("last")), others
 
 
+def _apart(pieces: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The pieces whose bytes occur earlier, and of the others, written, those that share a core with other bytes."""
+    later, kinds = _split(pieces.drop("bytes", "at"), "core", "piece")
+    kinds = write_table(kinds, "apart-kinds")
+    cores = pieces.sparkSession.sparkContext.broadcast(bloom_filter(kinds.select("core").distinct(), kinds.count()))
+    content = _having(pieces.select("core", "piece", "doc", "first", "at", "bytes"), "core", cores)
+    apart = kinds.join(content, ["core", "piece", "doc", "first"]).dropDuplicates(["core", "piece"])
+    return later, write_table(apart, "apart")
+
+
+def _without(rows: DataFrame, copies: DataFrame) -> DataFrame:
+    """The rows but for whole copies, whose ids are sent if few; if not, the texts are shuffled and written once."""
+    if copies.count() <= COPIES:
+        return rows.join(F.broadcast(copies), F.col("id") == F.col("doc"), "left_anti")
+    return write_table(rows.join(copies, F.col("id") == F.col("doc"), "left_anti"), "texts")
+
+
 def repeated_starts(rows: DataFrame, copies: DataFrame, span: int = SPAN, bucket: int = BUCKET) -> DataFrame:
     """(doc, first, last): ranges of the starts of strings that also start earlier; ``rows`` has id and text.
 
-    ``copies`` has the ids of texts that go as a whole; they need not be found here.
+    ``copies`` has the ids of texts that go as a whole; they are not searched.
     """
     spark = rows.sparkSession
-    few = copies.limit(COPIES + 1).toPandas()["doc"].to_numpy(np.int64)
-    read = _Documents(spark.sparkContext.broadcast(np.sort(few) if len(few) <= COPIES else None))
-    often = write_table(_anchors(rows, read, span).groupBy("anchor").count().where("count > 1").select("anchor"), "anchors")
+    rows = _without(rows, copies)
+    often = write_table(_anchors(rows, span).groupBy("anchor").count().where("count > 1").select("anchor"), "anchors")
     anchors = spark.sparkContext.broadcast(bloom_filter(often, often.count()))
-    found = write_table(_runs(rows, read, anchors, span), "runs")
-    later, others = _split(found, "anchor", "run")
+    found = write_table(_runs(rows, anchors, span), "runs")
+    starts, others = _split(found, "anchor", "run")
     others = write_table(others, "other-runs")
     wanted = spark.sparkContext.broadcast(bloom_filter(others.select("run"), others.count()))
     near = others.select("anchor").distinct()
     near = spark.sparkContext.broadcast(bloom_filter(near, others.count()))
-    content = _run_bytes(rows, read, near, wanted, span).dropDuplicates(["run"])
-    pieces = write_table(_pieces(others.join(content, "run"), span), "pieces")
-    later_pieces, apart = _split(pieces.drop("bytes", "at"), "core", "piece")
-    apart = write_table(apart, "apart-kinds")
-    cores = spark.sparkContext.broadcast(bloom_filter(apart.select("core").distinct(), apart.count()))
-    content = _having(pieces.select("core", "piece", "doc", "first", "at", "bytes"), "core", cores)
-    apart = apart.join(content, ["core", "piece", "doc", "first"])
-    apart = write_table(apart.dropDuplicates(["core", "piece"]), "apart")
-    sorted_ = _sorted_buckets(apart.where(F.col("parts") <= bucket), span)
-    many = _single_strings(apart.where(F.col("parts") > bucket), span)
-    return later.union(later_pieces).union(sorted_).union(many)
+    longer = others.join(_run_bytes(rows, near, wanted, span).dropDuplicates(["run"]), "run")
+    most = PIECE
+    while True:  # shorter pieces for the buckets that are too large; those of one string have all bytes in common
+        later, apart = _apart(write_table(_pieces(longer, span, most), "pieces"))
+        starts = starts.union(later).union(_sorted_buckets(apart.where(F.col("parts") <= bucket), span, most))
+        longer = apart.where(F.col("parts") > bucket).withColumnRenamed("at", "place")
+        if most == 1 or longer.isEmpty():
+            return starts
+        most = max(1, most // SHORTER)
 
 
 def _copies(rows: DataFrame) -> DataFrame:

@@ -39,13 +39,20 @@ def passages(seed: int) -> list:
     return ["".join(part() for _ in range(rng.randint(0, 5))) for _ in range(120)]
 
 
-@pytest.mark.parametrize("bucket, copies", [(256, 10**6), (2, 0)])
+@pytest.mark.parametrize("bucket, copies", [(256, 10**6), (2, 0), (1, 10**6)])
 def test_against_brute_force(spark, monkeypatch, bucket, copies):
-    monkeypatch.setattr(exact_dedup, "COPIES", copies)  # 0: the ids of whole copies are not sent
+    monkeypatch.setattr(exact_dedup, "COPIES", copies)  # 0: the ids of whole copies are joined, not sent
     texts = passages(3) + mixed_texts()
     assert found(documents(spark, texts), bucket=bucket) == brute(dict(enumerate(texts)))
 
 
+def test_edges_of_a_common_passage_are_split_by_further_bytes(spark):
+    rng, passage = random.Random(8), "".join(f"{i:x}" for i in range(1000, 1060))  # 180 bytes
+    side = lambda: "".join(rng.choice("ab") for _ in range(rng.randint(0, 9)))
+    texts = [f"{i} {side()}{passage[: 90 + rng.randint(0, 9)]}{side()} {i}" for i in range(400)]
+    assert found(documents(spark, texts), bucket=20) == brute(dict(enumerate(texts)))
+
+
 def test_edges(spark):
     assert without_repeats(documents(spark, [])).count() == 0
     text = "".join(f"{i} " for i in range(60))
