@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbwatch.llm.common import Batches, excerpt, fold, map_batches, named, read_table, text_blocks, texts_of
+from ebbwatch.session import write_table
 
 UNKNOWN = "und"
 GRAMS = (2, 3, 4)  # bytes of lower-cased UTF-8
@@ -148,13 +149,14 @@ def learning_rows(
     """At most about ``most`` documents, an equal number for each language, chosen by a hash of the id.
 
     Each language has an equal part of ``most_bytes``. A text that does not fit is passed over, and one over a small part
-    of these bytes is represented by pieces of it.
+    of these bytes is represented by pieces of it. With more languages than ``most``, only some have a learning row.
     """
     rows = named(docs, id_col, text_col, lang_col).toDF("id", "text", "lang").where("id is not null and lang is not null")
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("size"))
+    # Written, so that the planner knows its size and sends it only if it is small: labels may be noisy.
+    sizes = write_table(rows.groupBy("lang").agg(F.count("*").alias("size")), "languages")
     languages = max(1, sizes.count())
     chance = F.pmod(F.xxhash64(F.col("id"), F.lit("language sample")), F.lit(1 << 40)) / float(1 << 40)
-    chosen = rows.join(F.broadcast(sizes), "lang").withColumn("chance", chance).where(F.col("chance") < most / languages / F.col("size"))
+    chosen = rows.join(sizes, "lang").withColumn("chance", chance).where(F.col("chance") < most / languages / F.col("size"))
     bytes_each = most_bytes // min(languages, most)
     chosen = chosen.withColumn("text", excerpt("text", max(1, bytes_each // LONG)))
     found, used = [], {}

@@ -1,6 +1,9 @@
 import random
+from collections import Counter
 
-from ebbwatch.llm.language_id import LanguageFilters, fit_filters, identify, language_id, learning_rows
+import numpy as np
+
+from ebbwatch.llm.language_id import GRAMS, LEAST_COUNT, SHARE_OF_MOST, LanguageFilters, fit_filters, identify, language_id, learning_rows
 from tests.llm.texts import documents, mixed_texts
 
 PARTS = {"aa": ["ting", "the", "ou", "er"], "bb": ["schä", "lich", "ung", "ein"], "cc": ["ción", "mente", "que", "ado"]}
@@ -19,10 +22,34 @@ def test_held_out():
     assert all(0 <= s <= 1 for s in scores) and (filters.false_positives() < 0.01).all()
 
 
+def grams(texts):
+    """All n-grams of the texts without two blanks in a row, read plainly."""
+    for t in texts:
+        letters = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in t.lower().encode())
+        data = b" " + letters + b" "
+        for n in GRAMS:
+            yield from (data[i : i + n] for i in range(len(data) - n + 1) if b"  " not in data[i : i + n])
+
+
+def test_against_exact_sets():
+    rng = random.Random(4)
+    rows = [(text(rng, k, rng.randint(1, 40)), k) for _ in range(60) for k in PARTS]
+    counts = {k: Counter(grams(t for t, lang in rows if lang == k)) for k in PARTS}
+    totals = {k: {n: sum(c for g, c in counts[k].items() if len(g) == n) for n in GRAMS} for k in PARTS}
+    share = lambda k, g: counts[k][g] / totals[k][len(g)]
+    own = {k: {g for g, c in counts[k].items() if c >= LEAST_COUNT and share(k, g) >= SHARE_OF_MOST * max(share(j, g) for j in PARTS)} for k in PARTS}
+    texts = [text(rng, k, rng.randint(1, 30)) for _ in range(40) for k in PARTS] + ["Q9 xyz!", "the schä que"]
+    predicted, scores = identify(texts, fit_filters(rows))
+    for t, lang, score in zip(texts, predicted, scores):
+        found = list(grams([t]))
+        want = {k: sum(g in own[k] for g in found) / len(found) for k in PARTS}
+        best = max(want.values())
+        assert want[lang] > best - 0.02  # false positives of the filters, corrected on average
+        assert abs(score - (want[lang] / sum(want.values()) if best else 0)) < 0.05
+
+
 def test_many_languages_in_one_lookup():
     filters = LanguageFilters([f"l{i}" for i in range(40)])
-    import numpy as np
-
     codes = np.arange(1000, dtype=np.uint32)
     masks = np.uint64(1) << (codes % 40).astype(np.uint64)
     filters.put(codes, 3, masks)
