@@ -18,14 +18,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ebbwatch.llm.common import Batches, map_batches, named, read_table, text_blocks, texts_of
-from ebbwatch.llm.pretokens import VOCABULARY, encode_apart, pretokens, tokenizer
+from ebbwatch.llm.pretokens import VOCABULARY, encode_apart, joined_split, latin_bytes, latin_split, pretokens, tokenizer
 from ebbwatch.session import write_table
 
 WINDOW = 2048
 SEPARATOR = 1
 CACHE_ENTRIES = 400_000
 BUCKET_ROWS = 2_000  # pieces that one window task numbers, about
-_CACHES: dict[str, dict[str, bytes]] = {}  # of this worker process, by vocabulary
+BLOCK_BYTES = 4 << 20  # of texts that are split together
+_CACHES: dict[tuple[str, int | None], KnownIds] = {}  # of this worker process, by vocabulary and separator
 
 Encoder = Callable[[list[str]], list[bytes]]
 
@@ -101,32 +102,72 @@ def best_fit_plan(counts: dict[int, int], window: int) -> np.ndarray:
     return np.array(sorted(rows), np.int64).reshape(-1, 5)
 
 
+class KnownIds:
+    """Ids of pre-tokens behind each other, and where those of each one begin and how many they are.
+
+    Place 0 is the separator's. With more than ``most`` pre-tokens, or eight times as many ids, it starts anew.
+    """
+
+    def __init__(self, vocabulary: str, separator: int | None):
+        self.vocabulary, self.separator = vocabulary, [] if separator is None else [separator]
+        self.clear()
+
+    def clear(self) -> None:
+        self.places: dict[str, int] = {}
+        self.ids = np.array(self.separator, "<u4")
+        self.firsts, self.sizes = np.zeros(1, np.int64), np.array([len(self.ids)], np.int64)
+
+    def find(self, words: list[str], most: int) -> np.ndarray:
+        """The places of distinct pre-tokens; new ones are encoded together."""
+        if len(self.ids) > 8 * most:
+            self.clear()
+        new = [w for w in words if w not in self.places]
+        if new and len(self.places) + len(new) > most:
+            self.clear()
+            new = words
+        if new:
+            ids, ends = encode_apart(new, self.vocabulary)
+            firsts = np.concatenate([[0], ends[:-1]])
+            self.places.update(zip(new, range(len(self.firsts), len(self.firsts) + len(new))))
+            self.firsts = np.concatenate([self.firsts, len(self.ids) + firsts])
+            self.sizes = np.concatenate([self.sizes, ends - firsts])
+            self.ids = np.concatenate([self.ids, ids])
+        return np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
+
+    def encode(self, words: list[str], positions: np.ndarray, ends: np.ndarray, most: int) -> list[bytes]:
+        """Ids of texts that are split as ``latin_split`` does, each with the separator behind it."""
+        places = np.insert(self.find(words, most)[positions], ends, 0)
+        sizes = self.sizes[places]
+        after = np.cumsum(sizes)
+        ids = self.ids[np.repeat(self.firsts[places] - after + sizes, sizes) + np.arange(after[-1])]
+        data, cuts = ids.tobytes(), [0, *(4 * after[ends + np.arange(len(ends))]).tolist()]
+        return [data[i:j] for i, j in zip(cuts, cuts[1:])]
+
+
 def bpe_encoder(vocabulary: str, separator: int | None, most: int = CACHE_ENTRIES) -> Encoder:
-    """Ids of texts as little-endian unsigned 32-bit numbers, each text followed by the separator."""
-    known = _CACHES.setdefault(vocabulary, {})
-    end = b"" if separator is None else separator.to_bytes(4, "little")
+    """Ids of texts as little-endian unsigned 32-bit numbers, each text followed by the separator.
 
-    def learn(new: list[str]) -> None:
-        ids, ends = encode_apart(new, vocabulary)
-        data, first = ids.tobytes(), 0
-        for p, last in zip(new, (4 * ends).tolist()):
-            known[p] = data[first:last]
-            first = last
+    Texts are encoded together, from the distinct pre-tokens they have; those that cannot be split, one by one.
+    """
+    known = _CACHES.setdefault((vocabulary, separator), KnownIds(vocabulary, separator))
+    end = b"" if separator is None else separator.to_bytes(4, "little")
 
     def encode(texts: list[str]) -> list[bytes]:
-        splits = [pretokens(t) for t in texts]
-        here = set().union(*(s for s in splits if s))
-        if new := here.difference(known):
-            if len(known) + len(new) > most:
-                known.clear()
-                new = here
-            learn(list(new))
-        get, library = known.__getitem__, tokenizer(vocabulary)
-        return [
-            np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() + end
-            if s is None else b"".join(map(get, s)) + end
-            for t, s in zip(texts, splits)
-        ]
+        out: list = [None] * len(texts)
+        latin, wide = {}, {}
+        for i, t in enumerate(texts):
+            if "<|" not in t and (b := latin_bytes(t)) is not None:
+                latin[i] = b
+            elif (split := pretokens(t)) is not None:
+                wide[i] = split
+            else:
+                ids = tokenizer(vocabulary).encode(t, add_special_tokens=False).ids
+                out[i] = np.array(ids, "<u4").tobytes() + end
+        for some, split in ((latin, latin_split), (wide, joined_split)):
+            if some:
+                for i, ids in zip(some, known.encode(*split(list(some.values())), most)):
+                    out[i] = ids
+        return out
 
     return encode
 
@@ -144,7 +185,7 @@ def token_pieces(
 
     def work(batches: Batches) -> Batches:
         encode = bpe_encoder(vocabulary, separator)
-        for b in (part for whole in batches for part in text_blocks(whole, text_col)):
+        for b in (part for whole in batches for part in text_blocks(whole, text_col, BLOCK_BYTES)):
             out: list[list] = [[] for _ in range(6)]
             for doc, ids in zip(b.column(0).to_pylist(), encode(texts_of(b.column(1)))):
                 view, total = memoryview(ids), len(ids) // 4

@@ -3,7 +3,8 @@
 The tokenizer file splits normalised text into letters, single digits and runs of other signs, and
 merges within those only. A text's tokens are therefore those of its pre-tokens behind each other.
 Texts with characters whose normal form, case or class could differ between Unicode versions, or that
-may hold a special string, go to the library as a whole.
+may hold a special string, go to the library as a whole. Texts in Latin-1 can be split many at once, as
+arrays of bytes (``latin_split``).
 """
 
 from __future__ import annotations
@@ -12,9 +13,11 @@ import os
 import re
 import unicodedata
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 VOCABULARY = "word_bpe_49k.json"
@@ -35,6 +38,17 @@ _SPLIT = re.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^{_BLANKS}{_LETTERS}{_NUMBERS}]+"
 )
 
+# The same pattern for Latin-1, whose characters are bytes: lower case, and the class of each byte.
+_LOWER = "".join(map(chr, range(256))).lower().encode("latin-1")
+_BLANK, _LETTER, _NUMBER, _SIGN = range(4)
+_KINDS = np.array(
+    [
+        _BLANK if c in _SPACES else {"L": _LETTER, "N": _NUMBER}.get(unicodedata.category(chr(c))[0], _SIGN)
+        for c in range(256)
+    ],
+    np.uint8,
+)
+
 
 @cache
 def tokenizer(name: str = VOCABULARY) -> Tokenizer:
@@ -54,11 +68,51 @@ def pretokens(text: str) -> list[str] | None:
 
 def _latin1(text: str) -> bool:
     """Much quicker than the pattern, and true of most texts."""
+    return latin_bytes(text) is not None
+
+
+def latin_bytes(text: str) -> bytes | None:
+    """The text in Latin-1, or None if it has other characters."""
     try:
-        text.encode("latin-1")
+        return text.encode("latin-1")
     except UnicodeEncodeError:
-        return False
-    return True
+        return None
+
+
+def latin_split(texts: list[bytes]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The distinct pre-tokens of texts in Latin-1, those of all texts behind each other as positions in them, and
+    where those of each text end."""
+    data = np.frombuffer(b" ".join([*texts, b"   "]).translate(_LOWER), np.uint8)  # blanks keep texts apart
+    kinds = _KINDS[data]
+    first = kinds != _BLANK
+    first[1:] &= (kinds[1:] != kinds[:-1]) | (kinds[1:] == _NUMBER)
+    # A mark that begins a pre-token takes the letters of a contraction with it.
+    marks = np.flatnonzero(first & (data == ord("'")))
+    one, two = data[marks + 1], data[marks + 2]
+    short = np.isin(one, np.frombuffer(b"stmd", np.uint8))
+    long = (np.isin(one, np.frombuffer(b"rv", np.uint8)) & (two == ord("e"))) | ((one == ord("l")) & (two == ord("l")))
+    for places, size in ((marks[short], 1), (marks[long], 2)):
+        first[places + 1] = False
+        rest = places + 1 + size
+        first[rest[kinds[rest] == _LETTER]] = True
+    starts = np.flatnonzero(first)
+    solid = kinds != _BLANK
+    before = np.cumsum(solid, dtype=np.int32)[starts] - 1
+    words = data[solid]
+    offsets = np.append(before, len(words)).astype(np.int32)
+    split = pa.Array.from_buffers(
+        pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(words)]
+    ).dictionary_encode()
+    ends = np.cumsum([len(t) + 1 for t in texts], dtype=np.int64)
+    distinct = [w.decode("latin-1") for w in split.dictionary.to_pylist()]
+    return distinct, split.indices.to_numpy(), np.searchsorted(starts, ends)
+
+
+def joined_split(splits: list[list[str]]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The same of texts that ``pretokens`` has split."""
+    ends = np.cumsum([len(s) for s in splits], dtype=np.int64)
+    split = pa.array(chain.from_iterable(splits), pa.string(), size=int(ends[-1])).dictionary_encode()
+    return split.dictionary.to_pylist(), split.indices.to_numpy(), ends
 
 
 @cache

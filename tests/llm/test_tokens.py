@@ -5,7 +5,8 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from ebbwatch.llm.packing import best_fit_plan, pack_documents
+from ebbwatch.llm import packing
+from ebbwatch.llm.packing import best_fit_plan, bpe_encoder, pack_documents
 from ebbwatch.llm.pretokens import VOCABULARY, pretokens, tokenizer
 from ebbwatch.llm.token_counts import LengthTable, _lookup, token_counts
 from tests.llm.texts import documents, mixed_texts
@@ -29,6 +30,27 @@ def test_every_character_below_the_limit():
     assert _lookup(VOCABULARY, LengthTable(64), 10**6)(texts) == [len(library(t)) for t in texts]
 
 
+LATIN = st.text(st.one_of(st.sampled_from("abZ'strevmld09½²ß \u0085\x1c\xa0\x00\n!.é<|"), st.characters(max_codepoint=0xFF)), max_size=40)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(LATIN, SIGNS), min_size=1, max_size=12), st.sampled_from([None, 1]), st.sampled_from([5, 10**6]))
+def test_ids_of_texts_together_are_the_library_s(texts, separator, most):
+    end = [] if separator is None else [separator]
+    got = [np.frombuffer(ids, "<u4").tolist() for ids in bpe_encoder(VOCABULARY, separator, most)(texts)]
+    assert got == [library(t) + end for t in texts]
+
+
+def test_latin_texts_are_not_split_one_by_one(monkeypatch):
+    def refuse(text):
+        raise AssertionError("split by itself")
+
+    texts = [f"{a}{c}{b}" for c in map(chr, range(0x100)) for a in ("x", "'", " ") for b in ("'s", "'rex", "9")] + ["", "it's l'été, he'll"]
+    monkeypatch.setattr(packing, "pretokens", refuse)
+    got = [np.frombuffer(ids, "<u4").tolist() for ids in bpe_encoder(VOCABULARY, 1)(texts)]
+    assert got == [library(t) + [1] for t in texts]
+
+
 def test_table_counts(spark):
     texts = mixed_texts()
     got = token_counts(documents(spark, texts), cache_entries=100).toPandas().set_index("doc_id")
