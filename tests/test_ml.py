@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
-from ebbwatch.ml import models, prepare, trees
+from ebbwatch.ml import models, prepare, trees, tuning
 from ebbwatch.ml.tuning import tune_tree
 from ebbwatch.operators.sampling import data_split
 from ebbwatch.plans.features import complete_rows
@@ -88,6 +88,16 @@ def test_search_gives_the_same_scores_for_any_partitioning(spark, data, tuned):
     assert one == pytest.approx(many)
 
 
+def test_fits_read_few_partitions(spark, data, monkeypatch):
+    read = []
+    monkeypatch.setattr(tuning.CrossValidator, "fit", lambda self, frame: read.append((frame.rdd.getNumPartitions(), frame.count())))
+    rows = data.train.repartition(40)
+    tune_tree(rows, data.names)
+    monkeypatch.setattr(tuning, "FIT_ROWS", rows.count() / 8)
+    tune_tree(rows, data.names)
+    assert read == [(1, rows.count()), (3, rows.count())]
+
+
 def test_importances_sum_to_one_in_falling_order(spark, tuned, data):
     rows = tuned.importances(spark).collect()
     values = [r.importance for r in rows]
