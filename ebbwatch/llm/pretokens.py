@@ -21,6 +21,7 @@ import pyarrow as pa
 from tokenizers import Tokenizer
 
 VOCABULARY = "word_bpe_49k.json"
+TOGETHER = 4_000  # pre-tokens in one call of the library, which needs some hundred times their bytes
 
 _END = 0x300  # first combining mark; all text below it is in normal form
 _SPACES = {*range(0x09, 0x0E), 0x20, 0x85, 0xA0}
@@ -125,10 +126,16 @@ def _word_ends(vocabulary: str) -> np.ndarray:
 
 
 def encode_apart(split: list[str], vocabulary: str = VOCABULARY) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of many pre-tokens behind each other, and where each one's ids end.
+    """Ids of many pre-tokens behind each other, and where each one's ids end; a bounded number at once."""
+    parts = [_encoded(split[i : i + TOGETHER], vocabulary) for i in range(0, len(split), TOGETHER)]
+    if not parts:
+        return np.zeros(0, "<u4"), np.zeros(0, np.int64)
+    before = np.cumsum([0, *(len(ids) for ids, _ in parts)])
+    return np.concatenate([ids for ids, _ in parts]), np.concatenate([ends + n for (_, ends), n in zip(parts, before)])
 
-    One call for all of them: white space keeps them apart, and every pre-token ends in a token of its own kind.
-    """
+
+def _encoded(split: list[str], vocabulary: str) -> tuple[np.ndarray, np.ndarray]:
+    """One call for all of them: white space keeps them apart, and every pre-token ends in a token of its own kind."""
     library = tokenizer(vocabulary)
     ids = np.array(library.encode_batch_fast([" ".join(split)], add_special_tokens=False)[0].ids, "<u4")
     ends = np.flatnonzero(_word_ends(vocabulary)[ids]) + 1

@@ -1,6 +1,7 @@
 import random
 
 import corpus_pipeline
+import pyarrow as pa
 from ebbwatch.llm.decontamination import contamination
 from ebbwatch.llm.pseudonyms import found_values
 from tests.llm.test_similarity_join import brute
@@ -48,3 +49,16 @@ def test_texts_that_share_an_id(spark):
     got = corpus_pipeline.near_duplicates(spark, docs, "")
     got = sorted([(r.doc_id, "d" if r.text and r.text.startswith(d) else r.text) for r in got.collect()], key=str)
     assert got == sorted([(1, a), (2, b), (3, c), (3, "d"), (5, None), (5, "")], key=str)
+
+
+def test_batches_are_bounded_by_bytes(spark):
+    """Eighty texts of half a million bytes, which would otherwise reach a worker at once."""
+    docs = spark.range(0, 80, 1, 1).selectExpr("id as doc_id", "repeat('some words ', 50000) as text", "'en' as lang", "'s' as source", "550000L as n_chars")
+    corpus_pipeline.STAGES[0][1](spark, docs, "")
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"])
+
+    found = [r.n for r in docs.mapInArrow(sizes, "n long").collect()]
+    assert sum(found) > 40e6 and max(found) < 6e6

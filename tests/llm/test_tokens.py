@@ -1,3 +1,6 @@
+import os
+import subprocess
+import sys
 import zlib
 from bisect import bisect_left, insort
 
@@ -9,6 +12,7 @@ from ebbwatch.llm import packing
 from ebbwatch.llm.packing import best_fit_plan, bpe_encoder, pack_documents
 from ebbwatch.llm.pretokens import VOCABULARY, pretokens, tokenizer
 from ebbwatch.llm.token_counts import LengthTable, _lookup, token_counts
+from tests.conftest import ROOT
 from tests.llm.texts import documents, mixed_texts
 
 SIGNS = st.text(st.one_of(st.sampled_from("abZ's'tREve09½²ßİſ \u0085\x1c\x00\n!.́é<|endoftext|>Ǆⱥ日本😀"), st.characters(exclude_categories=["Cs"])), max_size=40)
@@ -105,3 +109,35 @@ def test_packed_documents(spark):
     assert got.sequence_id.nunique() == brute_best_fit(got.length.tolist(), 256)[0]
     assert pack_documents(documents(spark, [])).count() == 0
     assert pack_documents(documents(spark, ["same"] * 50)).select("sequence_id", "offset").distinct().count() == 50
+
+
+MEMORY = """
+import os, re, sys
+import pyarrow as pa
+sys.path[:0] = [os.getcwd(), "tools"]
+from check import session
+from ebbwatch.llm.packing import token_pieces
+
+def held(batches):
+    with open("/proc/self/status") as f:
+        now = int(re.search(r"VmRSS:\\s+(\\d+)", f.read())[1]) >> 10
+    yield pa.RecordBatch.from_arrays([pa.array([now]), pa.array([os.getpid()])], ["now", "pid"])
+
+spark = session("1")
+word = "translate(conv(pmod(xxhash64(id, i), 150000), 10, 26), '0123456789ABCDEFGHIJKLMNOP', 'abcdefghijklmnopqrstuvwxyz')"
+docs = spark.range(0, 16000, 1, 2).selectExpr("id as doc_id", f"array_join(transform(sequence(1, 300), i -> {word}), ' ') as text")
+token_pieces(docs.limit(1)).collect()
+probe = lambda: spark.range(0, 1, 1, 1).mapInArrow(held, "now long, pid long").first()
+before = probe()
+assert token_pieces(docs).count() == 16000
+after = probe()
+print("MB", after.now - before.now, after.pid == before.pid)
+"""
+
+
+def test_a_worker_gives_back_what_packing_took():
+    """20 MB of text, in a session of its own with one worker."""
+    out = subprocess.run([sys.executable, "-c", MEMORY], capture_output=True, text=True, check=True, cwd=ROOT, timeout=300, env=os.environ | {"PYTHONPATH": ROOT})
+    now, same = out.stdout.rpartition("MB ")[2].split()
+    assert same == "True"
+    assert int(now) < 60
