@@ -127,7 +127,7 @@ spark = session("1")
 word = "translate(conv(pmod(xxhash64(id, i), 150000), 10, 26), '0123456789ABCDEFGHIJKLMNOP', 'abcdefghijklmnopqrstuvwxyz')"
 docs = spark.range(0, 16000, 1, 2).selectExpr("id as doc_id", f"array_join(transform(sequence(1, 300), i -> {word}), ' ') as text")
 token_pieces(docs.limit(1)).collect()
-probe = lambda: spark.range(0, 1, 1, 1).mapInArrow(held, "now long, pid long").first()
+probe = lambda: spark.range(0, 1, 1, 1).mapInArrow(held, "now long, pid long").collect()[0]  # read to its end, or the worker goes
 before = probe()
 assert token_pieces(docs).count() == 16000
 after = probe()
